@@ -82,7 +82,7 @@ def row_entropy(cols, total=None, floor: float = 1e-9) -> Column:
     for c in cols:
         p = F.least(F.greatest(_c(c) / den, F.lit(0.0)), F.lit(1.0))
         p = F.when(p == 0, F.lit(floor)).otherwise(p)
-        terms.append(p * F.ln(p))
+        terms.append(F.when(_c(c).isNull(), F.lit(0.0)).otherwise(p * F.ln(p)))
     return -reduce(lambda a, b: a + b, terms)
 
 
@@ -163,7 +163,8 @@ def equal_width_code(c, lo: Column, hi: Column, n_bins: int = 10, missing: int =
     code = F.ceil((c - lo) / width).cast("int") - 1
     code = F.least(F.greatest(code, F.lit(0)), F.lit(n_bins - 1))
     code = F.when(hi == lo, F.lit(0)).otherwise(code)
-    return F.coalesce(code, F.lit(missing))
+    # greatest/least skip NULLs, so a missing value is handled first
+    return F.when(c.isNull(), F.lit(missing)).otherwise(code)
 
 
 def rank_in_edges(c, edges: Column) -> Column:

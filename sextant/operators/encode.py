@@ -155,28 +155,46 @@ def standard_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> Data
 
 
 def text_svd(terms: DataFrame, id_col: str, k: int = 5, term_col: str = "term",
-             weight_col: str = "weight") -> DataFrame:
+             weight_col: str = "weight", docs: DataFrame | None = None,
+             max_terms: int = 20_000) -> DataFrame:
     """Uncentred truncated SVD of the document-term weights: (id, svd_0..k-1) =
-    rows of U * Sigma. Runs on MLlib's distributed ``IndexedRowMatrix``; only
-    the k x vocabulary Gram work happens on the driver (vocabulary <= 1,000).
-    The sign of each component is fixed so its largest loading is positive."""
+    rows of U * Sigma = A V.
+
+    One pass builds the Gram matrix A^T A with MLlib's tree aggregation (each
+    task sums its documents into a dense vocabulary x vocabulary block; the
+    vocabulary is capped by ``max_features``, so the block size does not grow
+    with the data). Its top-k eigenvectors V come from numpy on the driver (a
+    fitted constant), and the projection A V is a join of the term weights with
+    the k loadings (broadcast: vocabulary x k rows) and a grouped sum. The sign
+    of each component is fixed so its largest loading is positive. Documents
+    without any vocabulary term (``docs``) get zeros."""
+    import numpy as np
     from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-
-    vocab = terms.select(term_col).distinct()
-    vocab = ordinal_codes(vocab, term_col, prefix_len=1).withColumnRenamed("value", term_col)
-    n_terms = vocab.agg(F.max("code")).first()[0] + 1
-    rows = (terms.join(vocab, term_col)
-                 .groupBy(id_col)
-                 .agg(F.sort_array(F.collect_list(F.struct("code", weight_col))).alias("_e")))
-    rdd = rows.rdd.map(lambda r: IndexedRow(int(r[0]), Vectors.sparse(
-        n_terms, [e[0] for e in r[1]], [float(e[1]) for e in r[1]])))
-    mat = IndexedRowMatrix(rdd)
-    svd = mat.computeSVD(k, computeU=True)
-    s = svd.s.toArray()
-    v = svd.V.toArray()
-    signs = [1.0 if v[abs(v[:, j]).argmax(), j] >= 0 else -1.0 for j in range(len(s))]
-    scale = [float(s[j] * signs[j]) for j in range(len(s))]
+    from pyspark.mllib.linalg.distributed import RowMatrix
+
+    terms = terms.select(id_col, term_col, weight_col).persist()   # read three times below
+    vocab = ordinal_codes(terms.select(term_col).distinct(), term_col, prefix_len=1).withColumnRenamed(
+        "value", term_col)
+    n_terms = int(vocab.agg(F.max("code")).first()[0]) + 1
+    if n_terms > max_terms:
+        raise ValueError(f"vocabulary of {n_terms} terms exceeds max_terms={max_terms}; "
+                         "cap it with tfidf_terms(max_features=...)")
+    coded = terms.join(vocab, term_col).persist()
+    rows = coded.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("code", weight_col))).alias("_e"))
+    rdd = rows.select("_e").rdd.map(lambda r: Vectors.sparse(
+        n_terms, [e[0] for e in r[0]], [float(e[1]) for e in r[0]]))
+    gram = RowMatrix(rdd).computeGramianMatrix().toArray()
+    vals, vecs = np.linalg.eigh(gram)
+    order = np.argsort(vals)[::-1][:k]
+    v = vecs[:, order]
+    for j in range(v.shape[1]):
+        if v[np.abs(v[:, j]).argmax(), j] < 0:
+            v[:, j] = -v[:, j]
     spark = terms.sparkSession
-    u = svd.U.rows.map(lambda r: (int(r.index), *[float(r.vector[j] * scale[j]) for j in range(len(scale))]))
-    return spark.createDataFrame(u, [id_col] + [f"svd_{j}" for j in range(len(scale))])
+    load = spark.createDataFrame([(int(i), *[float(x) for x in v[i]]) for i in range(n_terms)],
+                                 ["code"] + [f"_v{j}" for j in range(v.shape[1])])
+    proj = coded.join(F.broadcast(load), "code").groupBy(id_col).agg(
+        *[F.sum(F.col(weight_col) * F.col(f"_v{j}")).alias(f"svd_{j}") for j in range(v.shape[1])])
+    if docs is not None:
+        proj = docs.select(id_col).join(proj, id_col, "left").fillna(0.0)
+    return proj

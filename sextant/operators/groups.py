@@ -26,7 +26,8 @@ def loo_target_mean(train: DataFrame, key: str, label: str, prefix: str = "loo",
     out = lookup(train, stats, key)
     loo_sum = F.greatest(F.col("_s") - F.col(label), F.lit(0))
     loo_n = F.greatest(F.col("_n") - 1, F.lit(1))
-    mean = loo_sum / loo_n
+    # greatest skips NULLs: a row whose key found no statistic keeps NULL here
+    mean = F.when(F.col("_n").isNotNull() & F.col(label).isNotNull(), loo_sum / loo_n)
     if singleton == "prior":
         mean = F.when(F.col("_n") <= 1, F.lit(None)).otherwise(mean)
     if prior is None:
@@ -81,7 +82,8 @@ def group_label_propagation(train: DataFrame, test: DataFrame, key: str, label:
     rate as in :func:`group_known_rate`."""
     stats = train.groupBy(key).agg(F.sum(label).alias("_s"), F.count(label).alias("_n"))
     tr = lookup(train, stats, key)
-    loo = F.greatest(F.col("_s") - F.col(label), F.lit(0)) / F.greatest(F.col("_n") - 1, F.lit(1))
+    loo = F.when(F.col("_n").isNotNull() & F.col(label).isNotNull(),
+                 F.greatest(F.col("_s") - F.col(label), F.lit(0)) / F.greatest(F.col("_n") - 1, F.lit(1)))
     tr = (tr.withColumn("group_mean", F.coalesce(loo.cast("double"), F.lit(default)))
             .withColumn("group_agreement", F.greatest(F.col("group_mean"), 1 - F.col("group_mean")))
             .withColumn("known", F.col("_n").isNotNull().cast("int"))
@@ -108,7 +110,7 @@ def group_consistency(df: DataFrame, key: str, prob: str, locked: str | None = N
     big = F.coalesce(n >= min_size, F.lit(False))
     hi = big & (m > confidence)
     lo = big & (m < 1 - confidence)
-    adj = (F.when(hi, F.least(F.greatest(p * 0.7 + 0.3, F.lit(0.5)), F.lit(1.0)))
+    adj = (F.when(p.isNull(), p).when(hi, F.least(F.greatest(p * 0.7 + 0.3, F.lit(0.5)), F.lit(1.0)))
             .when(lo, F.least(F.greatest(p * 0.7, F.lit(0.0)), F.lit(0.5)))
             .otherwise(p))
     if locked is not None:

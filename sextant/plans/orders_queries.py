@@ -235,7 +235,8 @@ def group_known_rate(spark, sf):
 # W2 / E2 --------------------------------------------------------------------
 @query("loo_target_mean", sql=W + """
 , st AS (SELECT grp, sum(label) AS s, count(label) AS n FROM o WHERE is_train GROUP BY grp)
-, x AS (SELECT o.id, coalesce(greatest(st.s - o.label, 0) / greatest(st.n - 1, 1),
+, x AS (SELECT o.id, coalesce(CASE WHEN st.n IS NOT NULL AND o.label IS NOT NULL
+                              THEN greatest(st.s - o.label, 0) / greatest(st.n - 1, 1) END,
                               (SELECT avg(label) FROM o WHERE is_train)) AS m
         FROM o LEFT JOIN st ON o.grp = st.grp WHERE o.is_train)
 SELECT id, round(m, 6) AS loo_mean, round(greatest(m, 1 - m), 6) AS loo_agreement FROM x""")
@@ -260,7 +261,8 @@ def test_group_mean(spark, sf):
 , st AS (SELECT grp, sum(label) AS s, count(label) AS n, avg(label) AS m FROM o WHERE is_train GROUP BY grp)
 , tot AS (SELECT grp, count(id) AS n FROM o GROUP BY grp)
 , tr AS (SELECT o.id, o.is_train,
-                coalesce(greatest(st.s - o.label, 0) / greatest(st.n - 1, 1), 0.5) AS gm,
+                coalesce(CASE WHEN st.n IS NOT NULL AND o.label IS NOT NULL
+                         THEN greatest(st.s - o.label, 0) / greatest(st.n - 1, 1) END, 0.5) AS gm,
                 CAST(st.n IS NOT NULL AS INTEGER) AS known, 1.0 AS known_rate
          FROM o LEFT JOIN st ON o.grp = st.grp WHERE o.is_train)
 , te AS (SELECT o.id, o.is_train, coalesce(st.m, 0.5) AS gm,
@@ -347,8 +349,8 @@ def ordinal_encode(spark, sf):
 # B1 -----------------------------------------------------------------------
 @query("equal_width_bucket", sql=W + """
 , r AS (SELECT min(num_n) AS lo, max(num_n) AS hi FROM o)
-SELECT id, coalesce(CAST(CASE WHEN hi = lo THEN 0 ELSE
-         least(greatest(CAST(ceil((num_n - lo) / ((hi - lo) / 10.0)) AS INTEGER) - 1, 0), 9) END AS INTEGER), -1)
+SELECT id, CAST(CASE WHEN num_n IS NULL THEN -1 WHEN hi = lo THEN 0 ELSE
+         least(greatest(CAST(ceil((num_n - lo) / ((hi - lo) / 10.0)) AS INTEGER) - 1, 0), 9) END AS INTEGER)
        AS bucket
 FROM o, r""")
 def equal_width_bucket(spark, sf):
