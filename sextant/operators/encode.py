@@ -122,12 +122,17 @@ def tfidf_terms(df: DataFrame, id_col: str, text_col: str, max_features: int | N
     lower-case; tokens = runs of >= 2 Unicode word characters; vocabulary =
     ``max_features`` terms with the highest corpus frequency (ties by term);
     idf = ln((1 + n) / (1 + df)) + 1; weights L2-normalised per document.
-    Documents are exploded into tokens and counted with grouped aggregates; the
-    vocabulary cut is a top-k over the (small) term table."""
-    toks = df.select(F.col(id_col).alias("id"),
-                     F.explode(F.regexp_extract_all(F.lower(F.col(text_col)),
-                                                    F.lit(TOKEN_PATTERN), 0)).alias("term"))
-    tf = toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    Documents are hash-partitioned by id once (raw text is smaller than the
+    (doc, term) rows it explodes into); token counts per (doc, term) and the
+    per-document norm then run inside that partitioning with no further
+    shuffle of document rows. The (doc, term) table is persisted because the
+    vocabulary pass and the weighting pass both read it. The vocabulary is a
+    top-k of the term table; with ``max_features`` its size is bounded, so it
+    is broadcast."""
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")).repartition("id")
+    toks = docs.select("id", F.explode(F.regexp_extract_all(F.lower(F.col("_t")),
+                                                            F.lit(TOKEN_PATTERN), 0)).alias("term"))
+    tf = toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")).persist()
     n_docs = df.agg(F.count(F.lit(1)).alias("_nd"))
     vocab = tf.groupBy("term").agg(F.sum("tf").alias("_cf"), F.count(F.lit(1)).alias("_df"))
     if max_features is not None:
@@ -135,11 +140,11 @@ def tfidf_terms(df: DataFrame, id_col: str, text_col: str, max_features: int | N
     vocab = attach_global(vocab, n_docs)
     idf = (F.ln((F.col("_nd") + 1) / (F.col("_df") + 1)) + 1) if smooth else (F.ln(F.col("_nd") / F.col("_df")) + 1)
     vocab = vocab.select("term", idf.alias("idf"))
+    if max_features is not None:
+        vocab = F.broadcast(vocab)      # at most max_features rows
     w = tf.join(vocab, "term").withColumn("_raw", F.col("tf") * F.col("idf"))
-    norm = w.groupBy("id").agg(F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_norm"))
-    return (w.join(norm, "id")
-             .select(F.col("id").alias(id_col), "term", "tf", "idf",
-                     (F.col("_raw") / F.col("_norm")).alias("weight")))
+    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy("id")))
+    return w.select(F.col("id").alias(id_col), "term", "tf", "idf", (F.col("_raw") / norm).alias("weight"))
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:

@@ -32,16 +32,20 @@ def null_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max per column (long)."""
+    # one percentile aggregate per column for all three quartiles (one value
+    # map or sketch per column, not three)
     aggs = []
-    for c in cols:
-        aggs.append(F.struct(
-            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
-            percentile_expr(c, 0.25, exact).alias("q25"), percentile_expr(c, 0.5, exact).alias("q50"),
-            percentile_expr(c, 0.75, exact).alias("q75"),
-            F.max(F.col(c).cast("double")).alias("max")).alias(f"_s{len(aggs)}"))
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"_n{i}"), F.avg(c).alias(f"_m{i}"), F.stddev_samp(c).alias(f"_s{i}"),
+                 F.min(F.col(c).cast("double")).alias(f"_lo{i}"), F.max(F.col(c).cast("double")).alias(f"_hi{i}"),
+                 percentile_expr(c, [0.25, 0.5, 0.75], exact).alias(f"_q{i}")]
     one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(aggs))])).alias("s")).select("s.*")
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("count"), F.col(f"_m{i}").alias("mean"),
+                     F.col(f"_s{i}").alias("std"), F.col(f"_lo{i}").alias("min"),
+                     F.col(f"_q{i}")[0].alias("q25"), F.col(f"_q{i}")[1].alias("q50"),
+                     F.col(f"_q{i}")[2].alias("q75"), F.col(f"_hi{i}").alias("max"))
+            for i, c in enumerate(cols)]
+    return one.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -100,7 +104,9 @@ def boxplot_stats(df: DataFrame, col: str, group: Sequence[str] = (), exact: boo
     q = [percentile_expr(col, 0.25, exact).alias("q1"), percentile_expr(col, 0.5, exact).alias("median"),
          percentile_expr(col, 0.75, exact).alias("q3")]
     qs = df.groupBy(*group).agg(*q) if group else df.agg(*q)
-    x = df.join(F.broadcast(qs), group) if group else attach_global(df, qs)
+    # per-group quantile table: its size is the number of groups, so the join
+    # strategy is left to AQE; the global case is one row and is broadcast
+    x = df.join(qs, group) if group else attach_global(df, qs)
     iqr = F.col("q3") - F.col("q1")
     inside_lo = F.when(F.col(col) >= F.col("q1") - 1.5 * iqr, F.col(col))
     inside_hi = F.when(F.col(col) <= F.col("q3") + 1.5 * iqr, F.col(col))

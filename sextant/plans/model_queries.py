@@ -38,7 +38,7 @@ def _split(spark, sf):
 
 def _oof_query(spark, sf, factory, name):
     tr, te = _split(spark, sf)
-    preds = models.fold_runner(tr, "id", "y", FEATURES, factory, name, [42], 3, te)
+    preds = models.fold_runner(tr, "id", "y", FEATURES, factory, name, [42], 3, te, parallelism=3)
     return models.average_predictions(preds, "id")
 
 
