@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import zero_under_flag
+from ..session import cut_lineage
 from .stats import (attach_global, fill_from_table, global_mode, lookup, mode_table,
                     percentile_expr)
 
@@ -19,15 +20,24 @@ def impute_group_mode(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def impute_category_cascade(df: DataFrame, steps: Sequence[tuple[str, str]],
-                            finals: dict[str, object] | None = None) -> DataFrame:
+                            finals: dict[str, object] | None = None,
+                            checkpoint: bool = True) -> DataFrame:
     """Fill categories from related categories, in order.
 
     ``steps``: (source, target) pairs; target missing -> mode of target among rows
     with the same source value (computed on the current, partly filled frame).
     ``finals``: column -> ``"mode"`` (global mode) or a constant, applied last.
+
+    Each step's statistic is computed from the previous step's output, so the
+    plan of step k contains step k-1 twice (once under the aggregate, once
+    under the join); without a cut the plan doubles per step. With
+    ``checkpoint`` every step's output is written to the session's reliable
+    checkpoint folder (it survives executor loss) and the next step reads it.
     """
     for src, tgt in steps:
         df = fill_from_table(df, tgt, mode_table(df, src, tgt, "_fill"), src, "_fill")
+        if checkpoint:
+            df = cut_lineage(df)
     for col, how in (finals or {}).items():
         if how == "mode":
             g = global_mode(df, col, "_gfill")
