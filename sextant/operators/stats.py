@@ -122,3 +122,15 @@ def global_label_mean(df: DataFrame, label: str, out: str = "prior") -> DataFram
 def unpivot_columns(df: DataFrame, cols: Sequence[str], name: str = "column",
                     value: str = "value", ids: Sequence[str] = ()) -> DataFrame:
     return df.unpivot(list(ids), list(cols), name, value)
+
+
+def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
+    """Names of the numeric columns, from the schema (no data is read)."""
+    from pyspark.sql.types import NumericType
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
+
+
+def numeric_matrix(df: DataFrame, keep: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:
+    """``keep`` columns plus every numeric column, NULL -> 0."""
+    cols = numeric_columns(df, list(exclude) + list(keep))
+    return df.select(*keep, *cols).fillna(0, cols)

@@ -129,7 +129,11 @@ def pseudo_label_round(spark, sf):
 @query("adversarial_auc")
 def adversarial_auc(spark, sf):
     tr, te = _split(spark, sf)
-    return models.adversarial_auc(tr, te, "id", FEATURES, 3, 42)
+    # numeric columns chosen from the schema (label, split flag and key excluded), NULL -> 0
+    feats = stats.numeric_columns(tr, ["id", "y", "grp"])
+    tr = stats.numeric_matrix(tr, ["id"], ["y", "grp"])
+    te = stats.numeric_matrix(te, ["id"], ["y", "grp"])
+    return models.adversarial_auc(tr, te, "id", feats, 3, 42)
 
 
 @query("mixup_augment")

@@ -482,3 +482,14 @@ def feature_matrix(spark, sf):
                     F.col("cat_code").cast("double").alias("f_cat"),
                     F.col("_gs").cast("double").alias("f_grp_size"),
                     rnd(F.log1p("num")).alias("f_log_num"))
+
+
+# A21 ----------------------------------------------------------------------
+@query("solo_group_split", sql=W + """
+, gs AS (SELECT grp, count(*) AS n FROM o GROUP BY grp)
+SELECT CAST(count_if(gs.n = 1) AS BIGINT) AS n_solo, CAST(count_if(gs.n > 1) AS BIGINT) AS n_in_group
+FROM o JOIN gs ON o.grp = gs.grp""")
+def solo_group_split(spark, sf):
+    o = orders_view(spark, sf).select("id", "grp")
+    o = stats.lookup(o, stats.group_size_table(o, "grp", "_n"), "grp")
+    return o.agg(F.count_if(F.col("_n") == 1).alias("n_solo"), F.count_if(F.col("_n") > 1).alias("n_in_group"))
