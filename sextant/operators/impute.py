@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import zero_under_flag
 from ..session import cut_lineage
-from .stats import (attach_global, fill_from_table, global_mode, lookup, mode_table,
-                    percentile_expr)
+from .stats import attach_global, fill_from_table, global_mode, lookup, mode_table, percentile_table
 
 
 def impute_group_mode(df: DataFrame, key: str, col: str) -> DataFrame:
@@ -48,17 +47,18 @@ def impute_category_cascade(df: DataFrame, steps: Sequence[tuple[str, str]],
 
 
 def impute_median_cascade(df: DataFrame, col: str, group_keys: Sequence[str],
-                          exact: bool = True) -> DataFrame:
+                          method: str = "auto") -> DataFrame:
     """``col`` missing -> median in the first key's group -> in the next key's
-    group ... -> global median. All medians come from the unfilled column."""
+    group ... -> global median. All medians come from the unfilled column
+    (``method``: see :func:`stats.percentile_table`)."""
     fills = []
     out = df
     for i, k in enumerate(group_keys):
         name = f"_med{i}"
-        t = df.groupBy(k).agg(percentile_expr(col, 0.5, exact).alias(name))
+        t = percentile_table(df, k, col, [0.5], {(col, 0.5): name}, method)
         out = lookup(out, t, k)
         fills.append(F.col(name))
-    g = df.agg(percentile_expr(col, 0.5, exact).alias("_medg"))
+    g = percentile_table(df, [], col, [0.5], {(col, 0.5): "_medg"}, method)
     out = attach_global(out, g)
     fills.append(F.col("_medg"))
     out = out.withColumn(col, F.coalesce(F.col(col), *fills))
@@ -66,15 +66,15 @@ def impute_median_cascade(df: DataFrame, col: str, group_keys: Sequence[str],
 
 
 def impute_amounts(df: DataFrame, amounts: Sequence[str], flag: str, category: str,
-                   exact: bool = True) -> DataFrame:
+                   method: str = "auto") -> DataFrame:
     """Amounts: zero where ``flag``; missing -> median in ``category`` (zeros
     included) -> global median; zero where ``flag`` again. All columns' medians
     in one grouped aggregate and one global aggregate."""
     out = df
     for c in amounts:
         out = out.withColumn(c, zero_under_flag(c, flag))
-    cat_t = out.groupBy(category).agg(*[percentile_expr(c, 0.5, exact).alias(f"_cm_{c}") for c in amounts])
-    glob = out.agg(*[percentile_expr(c, 0.5, exact).alias(f"_gm_{c}") for c in amounts])
+    cat_t = percentile_table(out, category, amounts, [0.5], {(c, 0.5): f"_cm_{c}" for c in amounts}, method)
+    glob = percentile_table(out, [], amounts, [0.5], {(c, 0.5): f"_gm_{c}" for c in amounts}, method)
     out = attach_global(lookup(out, cat_t, category), glob)
     for c in amounts:
         out = out.withColumn(c, zero_under_flag(F.coalesce(F.col(c), F.col(f"_cm_{c}"), F.col(f"_gm_{c}")), flag))

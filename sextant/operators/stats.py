@@ -62,12 +62,93 @@ def percentile_expr(col: str, p, exact: bool = True, accuracy: int = 10000) -> C
     return F.percentile_approx(F.col(col), p, accuracy)
 
 
-def percentile_table(df: DataFrame, keys, col: str, p=0.5, out: str | None = None,
-                     exact: bool = True) -> DataFrame:
+def percentile_table(df: DataFrame, keys, cols, ps, names=None, method: str = "auto",
+                     n_chunks: int = 256, accuracy: int = 10000,
+                     max_distinct: int = 1_000_000) -> DataFrame:
+    """Linear-interpolated percentiles of one or more columns per key (no key:
+    one row). Columns are named ``names[(col, p)]`` (default ``{col}_q{j}``).
+
+    ``method``:
+      * ``"auto"`` (default): counts per distinct value are computed once
+        (partial aggregate); if the widest group has at most ``max_distinct``
+        distinct values (measured, so the bound is proven), the exact
+        percentile is taken over those weighted counts (state per task <=
+        max_distinct entries); otherwise the ``"distributed"`` path runs.
+      * ``"distributed"``: exact, with bounded state per task.
+        Counts per distinct value (partial aggregate); the value range of each
+        (key, column) is cut into ``n_chunks`` chunks at approximate quantiles
+        of the distinct values (a mergeable sketch); chunk offsets are a
+        running sum over <= n_chunks rows, ranks inside a chunk a running sum
+        over that chunk's distinct values. The values at ranks floor/ceil of
+        p (n - 1) are picked with a conditional aggregate and interpolated the
+        way ``percentile`` does, so the result equals it. No task ever holds
+        all values of a key, however hot the key or continuous the column.
+      * ``"exact"``: Spark's ``percentile`` aggregate (one value -> count map
+        per key, merged in one task; fine when distinct values are few).
+      * ``"approx"``: ``percentile_approx`` (a data value, not interpolated).
+    """
     keys = _keys(keys)
-    out = out or f"{col}_p{int(round(p * 100)) if not isinstance(p, (list, tuple)) else 'q'}"
-    agg = percentile_expr(col, p, exact).alias(out)
-    return df.groupBy(*keys).agg(agg) if keys else df.agg(agg)
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    ps = [ps] if isinstance(ps, (int, float)) else list(ps)
+    names = names or {}
+    name = lambda c, j: names.get((c, ps[j]), f"{c}_q{j}")
+    if method in ("exact", "approx"):
+        aggs = [percentile_expr(c, ps, method == "exact", accuracy).alias(f"_arr{i}") for i, c in enumerate(cols)]
+        t = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+        return t.select(*keys, *[F.col(f"_arr{i}")[j].alias(name(c, j))
+                                 for i, c in enumerate(cols) for j in range(len(ps))])
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)])).alias("_s"))
+    stacked = stacked.select(*keys, "_s._ci", "_s._v").where(F.col("_v").isNotNull())
+    gk = keys + ["_ci"]
+    vc = stacked.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    if method == "auto":
+        vc = vc.persist()
+        widest = vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
+        method = "weighted" if widest <= max_distinct else "distributed"
+    if method == "weighted":
+        t = vc.groupBy(*gk).agg(F.percentile("_v", ps, F.col("_c")).alias("_arr"))
+        t = t.select(*gk, *[F.col("_arr")[j].alias(f"_p{j}") for j in range(len(ps))])
+    else:
+        t = _chunked_percentiles(vc, gk, ps, n_chunks, accuracy)
+    wide = t.groupBy(*keys).pivot("_ci", list(range(len(cols)))).agg(
+        *[F.first(f"_p{j}").alias(f"p{j}") for j in range(len(ps))])
+    single = len(ps) == 1
+    return wide.select(*keys, *[F.col(f"{i}" if single else f"{i}_p{j}").alias(name(c, j))
+                                for i, c in enumerate(cols) for j in range(len(ps))])
+
+
+def _chunked_percentiles(vc: DataFrame, gk: list, ps, n_chunks: int, accuracy: int) -> DataFrame:
+    """Exact percentiles from (group, value, count) rows without holding a
+    group's values in one task (see :func:`percentile_table`)."""
+    from pyspark.sql import Window
+
+    grid = [k / n_chunks for k in range(1, n_chunks)]
+    bnd = vc.groupBy(*gk).agg(F.array_distinct(F.percentile_approx("_v", grid, accuracy)).alias("_b"))
+    x = vc.join(bnd, gk).withColumn("_chunk", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
+    ch = x.groupBy(*gk, "_chunk").agg(F.sum("_c").alias("_cc"))
+    ch = ch.select(*gk, "_chunk",
+                   (F.sum("_cc").over(Window.partitionBy(*gk).orderBy("_chunk")) - F.col("_cc")).alias("_off"),
+                   F.sum("_cc").over(Window.partitionBy(*gk)).alias("_n"))
+    x = x.join(ch, gk + ["_chunk"])
+    x = x.withColumn("_before", F.col("_off") + F.sum("_c").over(
+        Window.partitionBy(*gk, "_chunk").orderBy("_v")) - F.col("_c"))
+    aggs = [F.first("_n").alias("_n")]
+    for j, p in enumerate(ps):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        for tag, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            holds = (F.col("_before") <= r) & (r < F.col("_before") + F.col("_c"))
+            aggs.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{tag}{j}"))
+    t = x.groupBy(*gk).agg(*aggs)
+    outs = []
+    for j, p in enumerate(ps):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        vlo, vhi = F.col(f"_lo{j}"), F.col(f"_hi{j}")
+        val = (F.when((lo == hi) | (vlo == vhi), vlo)
+                .otherwise((hi.cast("double") - pos) * vlo + (pos - lo.cast("double")) * vhi))
+        outs.append(val.alias(f"_p{j}"))
+    return t.select(*gk, *outs)
 
 
 def lookup(df: DataFrame, table: DataFrame, keys, defaults: dict | None = None) -> DataFrame:

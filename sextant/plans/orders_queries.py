@@ -134,9 +134,9 @@ SELECT cat, count(*) AS n, round(median(num), 4) AS median_num,
 FROM o GROUP BY cat""")
 def group_median(spark, sf):
     o = orders_view(spark, sf)
-    return o.groupBy("cat").agg(F.count(F.lit(1)).alias("n"),
-                                rnd(F.percentile("num", 0.5), 4).alias("median_num"),
-                                rnd(F.percentile("num", 0.1), 4).alias("p10_num"))
+    n = stats.group_size_table(o, "cat", "n")
+    q = stats.percentile_table(o, "cat", "num", [0.5, 0.1], {("num", 0.5): "_med", ("num", 0.1): "_p10"})
+    return n.join(q, "cat").select("cat", "n", rnd("_med", 4).alias("median_num"), rnd("_p10", 4).alias("p10_num"))
 
 
 # A5 / J2 / W1 -------------------------------------------------------------
@@ -371,7 +371,8 @@ SELECT id, CASE WHEN num_n IS NULL THEN NULL ELSE
 FROM o, e""")
 def quantile_bucket(spark, sf):
     o = orders_view(spark, sf).select("id", "num_n")
-    e = o.agg(F.array_distinct(F.percentile("num_n", _Q6)).alias("_edges"))
+    q = stats.percentile_table(o, [], "num_n", _Q6)
+    e = q.select(F.array_distinct(F.array(*[F.col(f"num_n_q{j}") for j in range(len(_Q6))])).alias("_edges"))
     out = stats.attach_global(o, e)
     return out.select("id", rank_in_edges("num_n", F.col("_edges")).cast("int").alias("bucket"))
 
@@ -463,7 +464,7 @@ def deterministic_sample(spark, sf):
 SELECT id, num FROM o WHERE num < (SELECT quantile_cont(num, 0.1) FROM o)""")
 def quantile_cutoff(spark, sf):
     o = orders_view(spark, sf).select("id", "num")
-    q = o.agg(F.percentile("num", 0.1).alias("_q"))
+    q = stats.percentile_table(o, [], "num", [0.1], {("num", 0.1): "_q"})
     return stats.attach_global(o, q).where(F.col("num") < F.col("_q")).select("id", "num")
 
 

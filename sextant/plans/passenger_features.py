@@ -24,7 +24,8 @@ from ..functions.columns import (AGE_BAND_EDGES, AGE_BAND_LABELS, argmax_name, b
                                  split_composite_key, surname_extract)
 from ..operators import encode, groups, impute
 from ..operators.folds import fold_of
-from ..operators.stats import (attach_global, distinct_count_table, group_size_table, lookup, mode_table)
+from ..operators.stats import (attach_global, distinct_count_table, group_size_table, lookup, mode_table,
+                               percentile_table)
 from ..session import cut_lineage
 
 # Fixed values (must equal the source configuration): label, amount columns,
@@ -120,7 +121,9 @@ def prepare_features(train: DataFrame, test: DataFrame, n_folds: int = 5, seed:
     full = (full.withColumn("CryoNoSpend", flag((F.col("CryoFlag") == 1) & (F.col("NoSpend") == 1)))
                 .withColumn("NotCryoHasSpend", flag((F.col("CryoFlag") == 0) & (F.col("TotalSpend") > 0))))
     full = full.withColumn("AgeBand", right_closed_band("Age", AGE_BAND_EDGES, AGE_BAND_LABELS))
-    edges = full.agg(F.array_distinct(F.percentile("CabinNum", [k / 6 for k in range(7)])).alias("_e"))
+    q6 = [k / 6 for k in range(7)]
+    edges = percentile_table(full, [], "CabinNum", q6).select(
+        F.array_distinct(F.array(*[F.col(f"CabinNum_q{j}") for j in range(7)])).alias("_e"))
     full = attach_global(full, edges).withColumn(
         "CabinZone", F.concat(F.lit("zone_"), rank_in_edges("CabinNum", F.col("_e")).cast("string"))).drop("_e")
     full = (full.withColumn("HomeDest", category_cross("HomePlanet", "Destination"))
