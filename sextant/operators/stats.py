@@ -151,9 +151,23 @@ def _chunked_percentiles(vc: DataFrame, gk: list, ps, n_chunks: int, accuracy: i
     return t.select(*gk, *outs)
 
 
-def lookup(df: DataFrame, table: DataFrame, keys, defaults: dict | None = None) -> DataFrame:
-    """Left equi join of a fitted table; unmatched rows take ``defaults``."""
+def lookup(df: DataFrame, table: DataFrame, keys, defaults: dict | None = None,
+           salt: int | None = None) -> DataFrame:
+    """Left equi join of a fitted table; unmatched rows take ``defaults``.
+
+    ``salt=N`` spreads every key over N join partitions: the (one row per key)
+    table is replicated N times with salt 0..N-1, each data row takes the salt
+    hash(row) mod N. A key holding a third of the rows then lands in N tasks
+    instead of one, without relying on AQE's skew split."""
     keys = _keys(keys)
+    if salt and salt > 1:
+        # any deterministic row hash will do: the salt never changes a result
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt)))
+        reps = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        out = salted.join(reps, on=keys + ["_salt"], how="left").drop("_salt")
+        for c, d in (defaults or {}).items():
+            out = out.withColumn(c, F.coalesce(F.col(c), d if isinstance(d, Column) else F.lit(d)))
+        return out
     out = df.join(table, on=keys, how="left")
     for c, d in (defaults or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), d if isinstance(d, Column) else F.lit(d)))
