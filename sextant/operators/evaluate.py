@@ -118,6 +118,20 @@ def first_strict_best(results: DataFrame, order_col: str) -> DataFrame:
     return results.agg(*[F.min_by(c, key).alias(c) for c in cols])
 
 
+def choose_candidate(df: DataFrame, id_col: str, label: str, cands: dict, order: Sequence[str]) -> DataFrame:
+    """Best cut per candidate probability column and the chosen candidate:
+    highest accuracy, ties to the candidate listed first in ``order`` (so a
+    later candidate must be strictly better). One exploded, bucketed pass."""
+    lg = stack_candidates(df, id_col, label, cands)
+    spark = df.sparkSession
+    rank = spark.createDataFrame([(c, i) for i, c in enumerate(order)], "candidate string, ord int")
+    best = best_threshold(threshold_sweep(lg, "prob", label, ["candidate"]), ["candidate"])
+    best = best.join(F.broadcast(rank), "candidate")          # one row per candidate
+    win = first_strict_best(best, "ord").select(F.col("candidate").alias("_w"))
+    best = best.join(F.broadcast(win), F.col("candidate") == F.col("_w"), "left")
+    return best.withColumn("chosen", F.col("_w").isNotNull().cast("int")).drop("_w", "ord")
+
+
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label"), F.col(pred).alias("pred")).agg(
         F.count(F.lit(1)).alias("n"))

@@ -223,24 +223,65 @@ def best_accuracy(df: DataFrame, prob: str, label: str) -> float:
     return float(best_threshold(threshold_sweep(df, prob, label)).first()["accuracy"])
 
 
-def pseudo_label_round(train: DataFrame, test: DataFrame, id_col: str, label: str,
-                       features: Sequence[str], prob: str, hi: float = 0.92, k: int = 3,
-                       seed: int = 42) -> DataFrame:
-    """One self-training round: confident unlabelled rows (p >= hi or
-    p <= 1 - hi, keyed and de-duplicated) get label p >= 0.5 and join the
-    training rows; the refit is scored on the original rows only and kept only
-    if it is strictly better than the score before."""
-    def oof_acc(tr_rows):
-        preds = fold_runner(tr_rows, id_col, label, features, lambda s, f: forest(s, numTrees=20, maxDepth=6),
-                            "pl", [seed], k)
-        orig = preds.join(train.select(id_col, label), id_col)   # original rows only
-        return float(orig.agg(accuracy_at("prob", label, 0.5).alias("a")).first()["a"])
-
-    base = oof_acc(train.select(id_col, label, *features))
-    conf = test.where((F.col(prob) >= hi) | (F.col(prob) <= 1 - hi)).dropDuplicates([id_col])
-    added = conf.select(id_col, (F.col(prob) >= 0.5).cast("int").alias(label), *features)
-    n_added = added.count()
-    new = oof_acc(train.select(id_col, label, *features).unionByName(added))
-    spark = train.sparkSession
-    return spark.createDataFrame([(1, n_added, base, new, int(new > base))],
-                                 "round int, n_added bigint, base_accuracy double, new_accuracy double, accepted int")
+def _fit_and_score(rows: DataFrame, originals: DataFrame, apply_rows: DataFrame, id_col: str, label: str,
+                   features: Sequence[str], factory, k: int, seed: int):
+    """Fold fits on ``rows``: best-cut accuracy and cut on the original rows
+    only (OOF), and the mean prediction of the fold models on ``apply_rows``."""
+    preds = fold_runner(rows, id_col, label, features, factory, "pl", [seed], k, apply_rows).persist()
+    oof = preds.where(F.col("kind") == "oof").join(originals.select(id_col, label), id_col)
+    best = best_threshold(threshold_sweep(oof, "prob", label)).first()
+    probs = preds.where(F.col("kind") == "apply").groupBy(id_col).agg(F.avg("prob").alias("_p"))
+    return float(best["accuracy"]), float(best["threshold"]), probs
+
+
+def pseudo_label_rounds(train: DataFrame, test: DataFrame, id_col: str, label: str,
+                        features: Sequence[str], hi: float = 0.92, rounds: int = 2, k: int = 3,
+                        seed: int = 42, factory=None) -> DataFrame:
+    """Self-training. Each round: unlabelled rows whose current prediction is
+    >= hi or <= 1 - hi get the label p >= (current best cut) and are added to
+    the original training rows; the refit is scored on the original rows only
+    (best cut) and kept only if strictly better than the best accepted so far.
+    Pseudo rows are keyed by id, so a row is never added twice (the newest
+    label wins). Stops early when no row is confident. Returns one row per
+    round (round 0 = no pseudo rows)."""
+    factory = factory or (lambda s, f: forest(s, numTrees=20, maxDepth=6))
+    base = train.select(id_col, label, *features)
+    unl = test.select(id_col, *features)
+    acc, cut, probs = _fit_and_score(base, train, unl, id_col, label, features, factory, k, seed)
+    history = [(0, 0, acc, acc, 1)]
+    pseudo = None
+    for r in range(1, rounds + 1):
+        conf = unl.join(probs, id_col).where((F.col("_p") >= hi) | (F.col("_p") <= 1 - hi))
+        new = conf.select(id_col, (F.col("_p") >= cut).cast("int").alias(label), *features).persist()
+        n_new = new.count()
+        if n_new == 0:
+            break
+        cand = new if pseudo is None else pseudo.join(new.select(id_col), id_col, "left_anti").unionByName(new)
+        acc_r, cut_r, probs_r = _fit_and_score(base.unionByName(cand), train, unl, id_col, label, features,
+                                               factory, k, seed)
+        accepted = acc_r > acc
+        history.append((r, n_new, acc, acc_r, int(accepted)))
+        if accepted:
+            acc, cut, probs, pseudo = acc_r, cut_r, probs_r, cand
+    return train.sparkSession.createDataFrame(
+        history, "round int, n_added bigint, best_before double, accuracy double, accepted int")
+
+
+def calibrate_if_better(df: DataFrame, id_col: str, prob: str, label: str, apply_to: DataFrame,
+                        k: int = 5, seed: int = 42) -> DataFrame:
+    """Fold-wise isotonic calibration, used only if its best-cut OOF accuracy
+    is strictly higher than the uncalibrated one. Returns the ``apply_to`` rows
+    with the probability and cut to use and a ``calibrated`` flag."""
+    cal = isotonic_calibration(df, id_col, prob, label, k, seed, apply_to=apply_to)
+    oof = cal.where(F.col("kind") == "oof").join(df.select(id_col, label), id_col)
+    pre = best_threshold(threshold_sweep(df, prob, label)).select(
+        F.col("correct").alias("_c0"), F.col("threshold").alias("_t0"))
+    post = best_threshold(threshold_sweep(oof, "cal_prob", label)).select(
+        F.col("correct").alias("_c1"), F.col("threshold").alias("_t1"))
+    gate = pre.crossJoin(post).select((F.col("_c1") > F.col("_c0")).alias("_use"), "_t0", "_t1")
+    ap = apply_to.select(id_col, prob).join(
+        cal.where(F.col("kind") == "apply").select(id_col, "cal_prob"), id_col, "left")
+    ap = ap.crossJoin(F.broadcast(gate))
+    return ap.select(id_col, F.when(F.col("_use"), F.col("cal_prob")).otherwise(F.col(prob)).alias("prob_used"),
+                     F.when(F.col("_use"), F.col("_t1")).otherwise(F.col("_t0")).alias("threshold"),
+                     F.col("_use").cast("int").alias("calibrated"))

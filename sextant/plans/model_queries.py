@@ -121,9 +121,14 @@ def isotonic_calibration(spark, sf):
 @query("pseudo_label_round")
 def pseudo_label_round(spark, sf):
     tr, te = _split(spark, sf)
-    s = scores_view(spark, sf).where("NOT is_train").select("id", "p_m1")
-    te = te.join(s, "id")
-    return models.pseudo_label_round(tr, te, "id", "y", FEATURES, "p_m1", 0.92, 3, 42)
+    return models.pseudo_label_rounds(tr, te, "id", "y", FEATURES, hi=0.92, rounds=2, k=3, seed=42)
+
+
+@query("calibration_gate")
+def calibration_gate(spark, sf):
+    s = scores_view(spark, sf)
+    tr, te = s.where("is_train"), s.where("NOT is_train")
+    return models.calibrate_if_better(tr, "id", "p_avg", "y", te.select("id", "p_avg"), 5, 42)
 
 
 @query("adversarial_auc")

@@ -127,14 +127,10 @@ FROM best""")
 def blend_candidates(spark, sf):
     s = scores_view(spark, sf).where("is_train")
     defs = _cand_defs()
-    lg = evaluate.stack_candidates(s, "id", "y", {k: v for k, (_, v) in defs.items()})
-    order = spark.createDataFrame([(k, o) for k, (o, _) in defs.items()], "candidate string, ord int")
-    best = evaluate.best_threshold(evaluate.threshold_sweep(lg, "prob", "y", ["candidate"]), ["candidate"])
-    best = best.join(F.broadcast(order), "candidate")
-    win = evaluate.first_strict_best(best, "ord").select(F.col("candidate").alias("_w"))
-    best = best.join(F.broadcast(win), F.col("candidate") == F.col("_w"), "left")
+    order = sorted(defs, key=lambda k: defs[k][0])        # trees first: it wins ties
+    best = evaluate.choose_candidate(s, "id", "y", {k: v for k, (_, v) in defs.items()}, order)
     return best.select("candidate", "cut_index", rnd("threshold", 4).alias("threshold"), "correct",
-                       rnd("accuracy").alias("accuracy"), F.col("_w").isNotNull().cast("int").alias("chosen"))
+                       rnd("accuracy").alias("accuracy"), "chosen")
 
 
 # J6 -----------------------------------------------------------------------
