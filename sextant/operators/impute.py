@@ -50,19 +50,24 @@ def impute_median_cascade(df: DataFrame, col: str, group_keys: Sequence[str],
                           method: str = "auto") -> DataFrame:
     """``col`` missing -> median in the first key's group -> in the next key's
     group ... -> global median. All medians come from the unfilled column
-    (``method``: see :func:`stats.percentile_table`)."""
-    fills = []
+    (``method``: see :func:`stats.percentile_table`).
+
+    All medians come from one percentile pass: each row is stacked once per
+    key set as (key set, key value), plus once for the global set, and the
+    percentile table is keyed by that pair."""
+    n = len(group_keys)
+    sets = [F.struct(F.lit(i).alias("_ks"), F.col(k).cast("string").alias("_kv"))
+            for i, k in enumerate(group_keys)]
+    sets.append(F.struct(F.lit(n).alias("_ks"), F.lit(None).cast("string").alias("_kv")))
+    stacked = df.select(F.col(col), F.explode(F.array(*sets)).alias("_k")).select("_k._ks", "_k._kv", col)
+    meds = percentile_table(stacked, ["_ks", "_kv"], col, [0.5], {(col, 0.5): "_med"}, method)
     out = df
     for i, k in enumerate(group_keys):
-        name = f"_med{i}"
-        t = percentile_table(df, k, col, [0.5], {(col, 0.5): name}, method)
-        out = lookup(out, t, k)
-        fills.append(F.col(name))
-    g = percentile_table(df, [], col, [0.5], {(col, 0.5): "_medg"}, method)
-    out = attach_global(out, g)
-    fills.append(F.col("_medg"))
-    out = out.withColumn(col, F.coalesce(F.col(col), *fills))
-    return out.drop(*[f"_med{i}" for i in range(len(group_keys))], "_medg")
+        t = meds.where(F.col("_ks") == i).select(F.col("_kv").alias(f"_kv{i}"), F.col("_med").alias(f"_med{i}"))
+        out = out.join(t, F.col(k).cast("string") == F.col(f"_kv{i}"), "left").drop(f"_kv{i}")
+    out = attach_global(out, meds.where(F.col("_ks") == n).select(F.col("_med").alias("_medg")))
+    out = out.withColumn(col, F.coalesce(F.col(col), *[F.col(f"_med{i}") for i in range(n)], F.col("_medg")))
+    return out.drop(*[f"_med{i}" for i in range(n)], "_medg")
 
 
 def impute_amounts(df: DataFrame, amounts: Sequence[str], flag: str, category: str,

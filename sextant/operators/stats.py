@@ -111,6 +111,8 @@ def percentile_table(df: DataFrame, keys, cols, ps, names=None, method: str = "a
         t = t.select(*gk, *[F.col("_arr")[j].alias(f"_p{j}") for j in range(len(ps))])
     else:
         t = _chunked_percentiles(vc, gk, ps, n_chunks, accuracy)
+    if len(cols) == 1:      # one column: no pivot (and no extra shuffle) needed
+        return t.select(*keys, *[F.col(f"_p{j}").alias(name(cols[0], j)) for j in range(len(ps))])
     wide = t.groupBy(*keys).pivot("_ci", list(range(len(cols)))).agg(
         *[F.first(f"_p{j}").alias(f"p{j}") for j in range(len(ps))])
     single = len(ps) == 1
