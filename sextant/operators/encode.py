@@ -116,6 +116,23 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 NON_TOKEN_PATTERN = r"[^\p{L}\p{N}_]+"
 
 
+def _token_array(text: str):
+    """Tokens of a text column as an array (same rule as ``tfidf_terms``)."""
+    return F.filter(F.split(F.lower(F.col(text)), NON_TOKEN_PATTERN), lambda t: F.length(t) >= 2)
+
+
+def _vocabulary(tf: DataFrame, docs: DataFrame, max_features: int | None, smooth: bool) -> DataFrame:
+    """(term, idf) from a (id, term, tf) table: the ``max_features`` terms with
+    the highest corpus frequency (ties by term); idf = ln((1 + n) / (1 + df)) + 1."""
+    n_docs = docs.agg(F.count(F.lit(1)).alias("_nd"))
+    vocab = tf.groupBy("term").agg(F.sum("tf").alias("_cf"), F.count(F.lit(1)).alias("_df"))
+    if max_features is not None:
+        vocab = vocab.orderBy(F.desc("_cf"), F.asc("term")).limit(max_features)
+    vocab = attach_global(vocab, n_docs)
+    idf = (F.ln((F.col("_nd") + 1) / (F.col("_df") + 1)) + 1) if smooth else (F.ln(F.col("_nd") / F.col("_df")) + 1)
+    return vocab.select("term", idf.alias("idf"))
+
+
 def tfidf_terms(df: DataFrame, id_col: str, text_col: str, max_features: int | None = 1000,
                 smooth: bool = True) -> DataFrame:
     """TF-IDF as a long table (id, term, tf, weight).
@@ -136,13 +153,7 @@ def tfidf_terms(df: DataFrame, id_col: str, text_col: str, max_features: int | N
     toks = (docs.select("id", F.explode(F.split(F.lower(F.col("_t")), NON_TOKEN_PATTERN)).alias("term"))
                 .where(F.length("term") >= 2))
     tf = toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")).persist()
-    n_docs = df.agg(F.count(F.lit(1)).alias("_nd"))
-    vocab = tf.groupBy("term").agg(F.sum("tf").alias("_cf"), F.count(F.lit(1)).alias("_df"))
-    if max_features is not None:
-        vocab = vocab.orderBy(F.desc("_cf"), F.asc("term")).limit(max_features)
-    vocab = attach_global(vocab, n_docs)
-    idf = (F.ln((F.col("_nd") + 1) / (F.col("_df") + 1)) + 1) if smooth else (F.ln(F.col("_nd") / F.col("_df")) + 1)
-    vocab = vocab.select("term", idf.alias("idf"))
+    vocab = _vocabulary(tf, df, max_features, smooth)
     if max_features is not None:
         vocab = F.broadcast(vocab)      # at most max_features rows
     w = tf.join(vocab, "term").withColumn("_raw", F.col("tf") * F.col("idf"))
@@ -162,47 +173,53 @@ def standard_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> Data
     return out.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
 
 
-def text_svd(terms: DataFrame, id_col: str, k: int = 5, term_col: str = "term",
-             weight_col: str = "weight", docs: DataFrame | None = None,
-             max_terms: int = 20_000) -> DataFrame:
-    """Uncentred truncated SVD of the document-term weights: (id, svd_0..k-1) =
-    rows of U * Sigma = A V.
-
-    One pass builds the Gram matrix A^T A with MLlib's tree aggregation (each
-    task sums its documents into a dense vocabulary x vocabulary block; the
-    vocabulary is capped by ``max_features``, so the block size does not grow
-    with the data). Its top-k eigenvectors V come from numpy on the driver (a
-    fitted constant), and the projection A V is a join of the term weights with
-    the k loadings (broadcast: vocabulary x k rows) and a grouped sum. The sign
-    of each component is fixed so its largest loading is positive. Documents
-    without any vocabulary term (``docs``) get zeros."""
+def text_svd(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_features: int = 1000,
+             smooth: bool = True) -> DataFrame:
+    """Uncentred truncated SVD of the TF-IDF matrix: (id, svd_0..k-1) = rows of
+    U * Sigma = A V, one row per document (zeros when it has no vocabulary term).
+
+    Everything per document runs in the JVM:
+      * the vocabulary and idf (at most ``max_features`` terms, a fitted
+        constant) come to the driver;
+      * ``CountVectorizerModel`` over the token array, ``ElementwiseProduct``
+        with the idf and ``Normalizer`` build the sparse L2-normalised rows;
+      * the vocabulary x vocabulary Gram matrix comes from distributed
+        aggregates: ``Summarizer`` (count, mean, variance) and
+        ``Correlation.corr``, combined as A^T A = (n - 1) Cov + n mu mu^T.
+    Its top-k eigenvectors V are computed with numpy on the driver (bounded
+    by the vocabulary, not the data); the projection is a per-document dot
+    product with each column of V. Each component's sign is fixed so its
+    largest loading is positive."""
     import numpy as np
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    terms = terms.select(id_col, term_col, weight_col).persist()   # read three times below
-    vocab = ordinal_codes(terms.select(term_col).distinct(), term_col, prefix_len=1).withColumnRenamed(
-        "value", term_col)
-    n_terms = int(vocab.agg(F.max("code")).first()[0]) + 1
-    if n_terms > max_terms:
-        raise ValueError(f"vocabulary of {n_terms} terms exceeds max_terms={max_terms}; "
-                         "cap it with tfidf_terms(max_features=...)")
-    coded = terms.join(vocab, term_col).persist()
-    rows = coded.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("code", weight_col))).alias("_e"))
-    rdd = rows.select("_e").rdd.map(lambda r: Vectors.sparse(
-        n_terms, [e[0] for e in r[0]], [float(e[1]) for e in r[0]]))
-    gram = RowMatrix(rdd).computeGramianMatrix().toArray()
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.stat import Correlation, Summarizer
+
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")).repartition("id")
+    toks = docs.select("id", F.explode(_token_array("_t")).alias("term"))
+    tf = toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    vocab = _vocabulary(tf, df, max_features, smooth).orderBy("term").collect()   # <= max_features rows
+    names = [f"svd_{j}" for j in range(k)]
+    if not vocab:
+        return docs.select(F.col("id").alias(id_col), *[F.lit(0.0).alias(c) for c in names])
+    terms, idf = [r["term"] for r in vocab], [float(r["idf"]) for r in vocab]
+    x = docs.select("id", _token_array("_t").alias("_toks"))
+    x = CountVectorizerModel.from_vocabulary(terms, inputCol="_toks", outputCol="_tf").transform(x)
+    x = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_w").transform(x)
+    x = Normalizer(p=2.0, inputCol="_w", outputCol="_v").transform(x).select("id", "_v").persist()
+    summ = x.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("_v")).alias("s")).first()["s"]
+    n, mean, var = float(summ["count"]), summ["mean"].toArray(), summ["variance"].toArray()
+    corr = np.nan_to_num(Correlation.corr(x, "_v").head()[0].toArray())   # constant columns -> 0
+    sd = np.sqrt(np.maximum(var, 0.0))
+    gram = (n - 1.0) * corr * np.outer(sd, sd) + n * np.outer(mean, mean)
     vals, vecs = np.linalg.eigh(gram)
-    order = np.argsort(vals)[::-1][:k]
-    v = vecs[:, order]
+    v = vecs[:, np.argsort(vals)[::-1][:k]]
     for j in range(v.shape[1]):
         if v[np.abs(v[:, j]).argmax(), j] < 0:
             v[:, j] = -v[:, j]
-    spark = terms.sparkSession
-    load = spark.createDataFrame([(int(i), *[float(x) for x in v[i]]) for i in range(n_terms)],
-                                 ["code"] + [f"_v{j}" for j in range(v.shape[1])])
-    proj = coded.join(F.broadcast(load), "code").groupBy(id_col).agg(
-        *[F.sum(F.col(weight_col) * F.col(f"_v{j}")).alias(f"svd_{j}") for j in range(v.shape[1])])
-    if docs is not None:
-        proj = docs.select(id_col).join(proj, id_col, "left").fillna(0.0)
-    return proj
+    arr = vector_to_array(F.col("_v"))
+    dots = [F.aggregate(F.zip_with(arr, F.array(*[F.lit(float(a)) for a in v[:, j]]), lambda a, b: a * b),
+                        F.lit(0.0), lambda acc, t: acc + t).alias(names[j]) for j in range(v.shape[1])]
+    dots += [F.lit(0.0).alias(c) for c in names[v.shape[1]:]]
+    return x.select(F.col("id").alias(id_col), *dots)

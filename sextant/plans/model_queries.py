@@ -151,5 +151,4 @@ def mixup_augment(spark, sf):
 @query("text_svd")
 def text_svd(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", "text")
-    terms = encode.tfidf_terms(d, "doc_id", "text", 1000)
-    return encode.text_svd(terms, "doc_id", 5, docs=d)
+    return encode.text_svd(d, "doc_id", "text", 5, 1000)

@@ -132,8 +132,7 @@ def prepare_features(train: DataFrame, test: DataFrame, n_folds: int = 5, seed:
                 .withColumn("VIP", bool_text("VIP")))
 
     # surname text dimensions (fitted on train and test together)
-    terms = encode.tfidf_terms(full.select("PassengerId", "Surname"), "PassengerId", "Surname", 1000)
-    svd = encode.text_svd(terms, "PassengerId", svd_k, docs=full.select("PassengerId"))
+    svd = encode.text_svd(full.select("PassengerId", "Surname"), "PassengerId", "Surname", svd_k, 1000)
     for j in range(svd_k):
         svd = svd.withColumnRenamed(f"svd_{j}", f"Surname_tfidf_{j}")
     full = cut(lookup(full, svd, "PassengerId"))

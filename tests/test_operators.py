@@ -209,3 +209,22 @@ def test_loo_missing_key_takes_prior(spark):
     df = spark.createDataFrame([(0, None, 1), (1, 2, 1), (2, 2, 0)], "id int, k int, y int")
     out = {r["id"]: r["loo_mean"] for r in groups.loo_target_mean(df, "k", "y", prior=0.25).collect()}
     assert out == {0: 0.25, 1: 0.0, 2: 1.0}
+
+
+def test_text_svd_equals_numpy(spark):
+    import numpy as np
+    texts = ["red ring bolt", "red red ring", "blue bolt nut", "nut nut blue red", "green", "ring bolt nut blue",
+             "a b", "red blue green ring"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    svd = {r["id"]: [r[f"svd_{j}"] for j in range(3)] for r in encode.text_svd(df, "id", "text", 3).collect()}
+    terms = encode.tfidf_terms(df, "id", "text").collect()
+    vocab = sorted({r["term"] for r in terms})
+    a = np.zeros((len(texts), len(vocab)))
+    for r in terms:
+        a[r["id"], vocab.index(r["term"])] = r["weight"]
+    u, s, vt = np.linalg.svd(a, full_matrices=False)
+    want = u[:, :3] * s[:3]
+    for j in range(3):
+        col = np.array([svd[i][j] for i in range(len(texts))])
+        assert np.allclose(np.abs(col), np.abs(want[:, j]), atol=1e-8)
+    assert svd[6] == [0.0, 0.0, 0.0]          # no token of >= 2 characters
