@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
@@ -24,6 +24,30 @@ def stratified_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42,
     return df.withColumn(out, fold_of(key, seed, k))
 
 
+def exact_stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42,
+                           n_chunks: int = 1024, out: str = "fold") -> DataFrame:
+    """Folds with exact class balance: inside each class, rows are ranked by
+    (hash(key, seed), key) and fold = rank mod k, so per class the fold sizes
+    differ by at most one (the source's stratified split), and the assignment
+    is repeatable.
+
+    The rank is a two-level prefix sum, so no class is ordered in one task:
+    the hash is uniform, so equal hash ranges ("chunks") hold equal shares of
+    each class; chunk offsets are a running sum over <= n_chunks rows per
+    class, and the rank inside a chunk is a window over that chunk only."""
+    h = hash32(key, seed=seed)
+    x = df.withColumn("_h", h).withColumn(
+        "_chunk", F.floor(F.col("_h") * F.lit(float(n_chunks)) / F.lit(float(2 ** 32))).cast("int"))
+    sizes = x.groupBy(label, "_chunk").agg(F.count(F.lit(1)).alias("_cn"))
+    offs = sizes.select(label, "_chunk", (F.sum("_cn").over(
+        Window.partitionBy(label).orderBy("_chunk")) - F.col("_cn")).alias("_off"))
+    offs = offs.withColumnRenamed(label, "_cls").withColumnRenamed("_chunk", "_ch")
+    # null-safe: rows without a label form their own class
+    x = x.join(offs, x[label].eqNullSafe(offs["_cls"]) & (x["_chunk"] == offs["_ch"])).drop("_cls", "_ch")
+    rank = F.col("_off") + F.row_number().over(Window.partitionBy(label, "_chunk").orderBy("_h", key)) - 1
+    return x.withColumn(out, F.pmod(rank, F.lit(k)).cast("int")).drop("_h", "_chunk", "_off")
+
+
 def repeated_folds(df: DataFrame, key: str, seeds: Sequence[int], k: int = 5,
                    offset: int = 0) -> DataFrame:
     """(rows x seeds) with columns seed, fold; effective seed = seed + offset."""

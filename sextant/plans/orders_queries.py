@@ -385,6 +385,15 @@ def stratified_folds(spark, sf):
     return folds.stratified_folds(tr.select("id", "label"), "id", 5, 42)
 
 
+@query("stratified_folds_exact", sql=W + f"""
+SELECT id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {sql_hash32('id', 42)}, id) - 1) % 5
+       AS INTEGER) AS fold
+FROM o WHERE is_train""")
+def stratified_folds_exact(spark, sf):
+    tr, _ = train_test(spark, sf)
+    return folds.exact_stratified_folds(tr.select("id", "label"), "id", "label", 5, 42)
+
+
 # The five repeat seeds of the source configuration.
 REPEAT_SEEDS = [42, 2024, 7, 2025, 88]
 

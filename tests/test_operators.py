@@ -228,3 +228,17 @@ def test_text_svd_equals_numpy(spark):
         col = np.array([svd[i][j] for i in range(len(texts))])
         assert np.allclose(np.abs(col), np.abs(want[:, j]), atol=1e-8)
     assert svd[6] == [0.0, 0.0, 0.0]          # no token of >= 2 characters
+
+
+def test_exact_stratified_folds_balanced(spark):
+    base = spark.range(1003).select("id", F.when(F.col("id") % 11 == 0, F.lit(None))
+                                    .otherwise((F.col("id") % 3 == 0).cast("int")).alias("y"))
+    a = folds.exact_stratified_folds(base, "id", "y", 5, 42, n_chunks=7)
+    b = folds.exact_stratified_folds(base.repartition(13), "id", "y", 5, 42, n_chunks=64)
+    assert sorted(map(tuple, a.select("id", "fold").collect())) == sorted(map(tuple, b.select("id", "fold").collect()))
+    counts = a.groupBy("y", "fold").count().collect()
+    per = {}
+    for r in counts:
+        per.setdefault(r["y"], []).append(r["count"])
+    for y, cs in per.items():
+        assert len(cs) == 5 and max(cs) - min(cs) <= 1, (y, cs)
