@@ -146,7 +146,9 @@ def random_search(train: DataFrame, id_col: str, label: str, features: Sequence[
                   space: dict[str, tuple], n_trials: int = 4, k: int = 3, seed: int = 42,
                   parallelism: int = 2) -> DataFrame:
     """Seeded random search over forest settings; each trial's score is the
-    k-fold OOF accuracy (one distributed fit per fold)."""
+    k-fold OOF accuracy (one distributed fit per fold). Trials are submitted
+    from a driver thread pool of size ``parallelism`` (the assembled training
+    frame is cached once: identical plans share the cache)."""
     rng = random.Random(seed)
     trials = []
     for t in range(n_trials):
@@ -155,13 +157,16 @@ def random_search(train: DataFrame, id_col: str, label: str, features: Sequence[
             params[name] = rng.randint(lo, hi) if isinstance(lo, int) else rng.uniform(lo, hi)
         trials.append((t, params))
     spark = train.sparkSession
-    rows = []
-    for t, params in trials:
+    def run(trial):
+        t, params = trial
         preds = fold_runner(train, id_col, label, features, lambda s, f, p=params: forest(s, **p),
-                            f"trial_{t}", [seed], k, None, parallelism)
+                            f"trial_{t}", [seed], k, None, 1)
         acc = (preds.join(train.select(id_col, label), id_col)
                     .agg(accuracy_at("prob", label, 0.5).alias("a")).first()["a"])
-        rows.append((t, str(sorted(params.items())), float(acc)))
+        return (t, str(sorted(params.items())), float(acc))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(run, trials))
     return spark.createDataFrame(rows, "trial int, params string, accuracy double")
 
 
