@@ -242,3 +242,26 @@ def test_exact_stratified_folds_balanced(spark):
         per.setdefault(r["y"], []).append(r["count"])
     for y, cs in per.items():
         assert len(cs) == 5 and max(cs) - min(cs) <= 1, (y, cs)
+
+
+def test_oof_encoding_leak_only_through_prior(spark):
+    from sextant.functions.hashing import uniform
+    base = spark.range(300).select("id", (F.col("id") % 4).cast("string").alias("c"),
+                                   (uniform("id", seed=9) < 0.4).cast("int").alias("y"))
+    base = folds.stratified_folds(base, "id", 5, 42)
+    flipped = base.withColumn("y", F.when(F.col("id") == 17, 1 - F.col("y")).otherwise(F.col("y")))
+    a = {r["id"]: r["te_c"] for r in encode.target_encode_oof(base, ["c"], "y", "fold", 10.0, prior=0.4).collect()}
+    b = {r["id"]: r["te_c"] for r in encode.target_encode_oof(flipped, ["c"], "y", "fold", 10.0, prior=0.4).collect()}
+    assert a[17] == pytest.approx(b[17])          # with a fixed prior the row's own label has no effect
+
+
+def test_fold_runner_one_oof_prediction_per_seed(spark):
+    from sextant.operators import models
+    df = spark.range(300).select("id", (F.col("id") % 7).cast("double").alias("x"),
+                                 (F.col("id") % 2).cast("int").alias("y"))
+    preds = models.fold_runner(df, "id", "y", ["x"], lambda s, f: models.logistic(300), "lr", [42, 7], 3,
+                               apply_to=df.limit(10).select("id", "x"))
+    oof = preds.where("kind = 'oof'").groupBy("id").agg(F.count("*").alias("n"), F.countDistinct("seed").alias("s"))
+    assert oof.count() == 300 and oof.where("n <> 2 OR s <> 2").count() == 0
+    assert preds.where("prob < 0 OR prob > 1").count() == 0
+    assert preds.where("kind = 'apply'").count() == 10 * 2 * 3
