@@ -45,9 +45,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only when
-    none is configured (local tests). On a cluster the shared folder named in
-    ``spark.checkpoint.dir`` is used as is."""
+    """Return the session's checkpoint folder. On a cluster it must be the
+    shared folder named in ``spark.checkpoint.dir`` (an error otherwise); only
+    a local-mode session without one (tests) gets a scratch folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would not survive executor loss on a cluster
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
     path = tempfile.mkdtemp(prefix="sextant-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
