@@ -177,7 +177,10 @@ def lookup(df: DataFrame, table: DataFrame, keys, defaults: dict | None = None,
 
 
 def attach_global(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row statistic table to every row (broadcast: size is 1 row)."""
+    """Attach a one-row statistic table to every row (broadcast: size is 1 row).
+    This is the only cross product in the library besides fixed small grids:
+    O(rows), never pairs of data rows (the plan is a broadcast nested loop
+    join against one row)."""
     return df.crossJoin(F.broadcast(one_row))
 
 
