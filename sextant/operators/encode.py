@@ -79,16 +79,18 @@ def target_encode_full(train: DataFrame, apply_to: DataFrame, cols: Sequence[str
 
 
 def ordinal_codes(df: DataFrame, col: str, missing: str = "__MISSING__",
-                  prefix_len: int = 2) -> DataFrame:
+                  n_buckets: int | None = None) -> DataFrame:
     """Vocabulary table (value, code): codes 0.. by code-point order of the text
     values, missing -> ``missing``.
 
-    Distributed rank: values are bucketed by their first ``prefix_len``
-    characters (ordering by (prefix, value) equals ordering by value); a rank
-    inside each bucket plus the bucket's offset. The only unpartitioned window
-    runs on the bucket table (one row per prefix), never on data rows."""
+    Distributed rank: the distinct values are range-partitioned by value
+    (bounds from a sample, so buckets are balanced even when many values share
+    a prefix, and bucket i holds only values below bucket i + 1); the code is
+    the bucket's offset plus the rank inside the bucket. The only window
+    without a partition key runs on the bucket-size table (n_buckets rows)."""
+    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     vals = df.select(F.coalesce(F.col(col).cast("string"), F.lit(missing)).alias("value")).distinct()
-    vals = vals.withColumn("_b", F.substring("value", 1, prefix_len))
+    vals = vals.repartitionByRange(n, "value").withColumn("_b", F.spark_partition_id()).persist()
     sizes = vals.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
     offs = sizes.select("_b", (F.sum("_bn").over(Window.orderBy("_b")) - F.col("_bn")).alias("_off"))
     ranked = vals.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("value")))

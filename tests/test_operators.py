@@ -265,3 +265,12 @@ def test_fold_runner_one_oof_prediction_per_seed(spark):
     assert oof.count() == 300 and oof.where("n <> 2 OR s <> 2").count() == 0
     assert preds.where("prob < 0 OR prob > 1").count() == 0
     assert preds.where("kind = 'apply'").count() == 10 * 2 * 3
+
+
+def test_ordinal_codes_shared_prefix_and_partitioning(spark):
+    vals = [f"Brand#{i:05d}" for i in range(500)] + ["Apple", None, "zeta"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, c string")
+    want = {v: i for i, v in enumerate(sorted({(v if v is not None else "__MISSING__") for v in vals}))}
+    for n in (1, 7, 32):
+        got = {r["value"]: r["code"] for r in encode.ordinal_codes(df.repartition(5), "c", n_buckets=n).collect()}
+        assert got == want
