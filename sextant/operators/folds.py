@@ -25,7 +25,8 @@ def stratified_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42,
 
 
 def exact_stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42,
-                           n_chunks: int = 1024, out: str = "fold") -> DataFrame:
+                           n_chunks: int | None = None, rows_per_chunk: int = 1_000_000,
+                           out: str = "fold") -> DataFrame:
     """Folds with exact class balance: inside each class, rows are ranked by
     (hash(key, seed), key) and fold = rank mod k, so per class the fold sizes
     differ by at most one (the source's stratified split), and the assignment
@@ -35,6 +36,8 @@ def exact_stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed
     the hash is uniform, so equal hash ranges ("chunks") hold equal shares of
     each class; chunk offsets are a running sum over <= n_chunks rows per
     class, and the rank inside a chunk is a window over that chunk only."""
+    if n_chunks is None:      # >= 1024 chunks, and about rows_per_chunk rows each
+        n_chunks = max(1024, -(-df.count() // rows_per_chunk))
     h = hash32(key, seed=seed)
     x = df.withColumn("_h", h).withColumn(
         "_chunk", F.floor(F.col("_h") * F.lit(float(n_chunks)) / F.lit(float(2 ** 32))).cast("int"))

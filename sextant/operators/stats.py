@@ -63,7 +63,7 @@ def percentile_expr(col: str, p, exact: bool = True, accuracy: int = 10000) -> C
 
 
 def percentile_table(df: DataFrame, keys, cols, ps, names=None, method: str = "auto",
-                     n_chunks: int = 256, accuracy: int = 10000,
+                     n_chunks: int | None = None, accuracy: int = 10000,
                      max_distinct: int = 1_000_000) -> DataFrame:
     """Linear-interpolated percentiles of one or more columns per key (no key:
     one row). Columns are named ``names[(col, p)]`` (default ``{col}_q{j}``).
@@ -102,10 +102,16 @@ def percentile_table(df: DataFrame, keys, cols, ps, names=None, method: str = "a
     stacked = stacked.select(*keys, "_s._ci", "_s._v").where(F.col("_v").isNotNull())
     gk = keys + ["_ci"]
     vc = stacked.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    widest = None
     if method == "auto":
         vc = vc.persist()
         widest = vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
         method = "weighted" if widest <= max_distinct else "distributed"
+    if method == "distributed" and n_chunks is None:
+        # about max_distinct distinct values per chunk, 256 to 4096 chunks
+        widest = widest if widest is not None else (vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0)
+        n_chunks = int(min(4096, max(256, -(-widest // max_distinct))))
+        accuracy = max(accuracy, 10 * n_chunks)
     if method == "weighted":
         t = vc.groupBy(*gk).agg(F.percentile("_v", ps, F.col("_c")).alias("_arr"))
         t = t.select(*gk, *[F.col("_arr")[j].alias(f"_p{j}") for j in range(len(ps))])

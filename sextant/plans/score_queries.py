@@ -329,7 +329,7 @@ def pseudo_label_select(spark, sf):
 # D5 -----------------------------------------------------------------------
 @query("mixup_pairs", sql=W + f"""
 , b AS (SELECT id, y, num, p_m1, {sql_hash32('id', 42)} AS h FROM sa WHERE is_train)
-, p AS (SELECT *, h % 64 AS bk FROM b)
+, p AS (SELECT *, h % (SELECT CAST(greatest(ceil(count(*) / 1000000.0), 1) AS BIGINT) FROM b) AS bk FROM b)
 , q AS (SELECT id, y, num, p_m1,
           coalesce(lead(id) OVER w, first_value(id) OVER wf) AS pid,
           coalesce(lead(y) OVER w, first_value(y) OVER wf) AS py,
@@ -344,7 +344,7 @@ SELECT id, pid AS partner, {dlit(0.7)} AS lam,
 FROM q""")
 def mixup_pairs(spark, sf):
     s = scores_view(spark, sf).where("is_train").select("id", "y", "num", "p_m1")
-    m = augment.mixup_pairs(s, "id", ["num", "p_m1"], "y", 0.7, seed=42, n_buckets=64)
+    m = augment.mixup_pairs(s, "id", ["num", "p_m1"], "y", 0.7, seed=42)   # buckets from row count
     return m.select("id", "partner", "lam", rnd("num", 4).alias("num"), rnd("p_m1").alias("p_m1"), "y")
 
 

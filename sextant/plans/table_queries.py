@@ -276,8 +276,8 @@ SELECT event_id, user_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, eve
 FROM events""")
 def running_best(spark, sf):
     ev = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    ev = ev.withColumn("day", F.to_date("ts"))
-    r = profile.running_best(ev, "user_id", ["ts", "event_id"], "value", chunk_col="day")
+    ev = ev.withColumn("hour", F.date_trunc("hour", "ts"))
+    r = profile.running_best(ev, "user_id", ["ts", "event_id"], "value", chunk_col="hour")
     return r.select("event_id", "user_id", "running_best")
 
 
