@@ -79,3 +79,11 @@ def cut_lineage(df, how: str = "parquet"):
     path = root.rstrip("/") + f"/sextant-stage-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def release_caches(spark: SparkSession) -> None:
+    """Drop every cached intermediate (value counts for percentiles, fold
+    inputs, token tables). Operators cache what they read twice; a long-lived
+    session calls this between independent jobs. Results stay correct if a
+    cache is dropped early: Spark recomputes it from its lineage."""
+    spark.catalog.clearCache()

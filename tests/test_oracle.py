@@ -54,3 +54,11 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_registered_runs_on_whole_tables():
     qs = entry.queries()
     assert len(qs) >= 90 and set(SQL) <= set(qs)
+
+
+def test_driver_contract(spark):
+    df = entry.entry(spark)
+    assert df.count() > 0 and df.columns == ["id", "fold", "te_cat", "te_cat_n"]
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    for name, sql in entry.oracle_sql().items():
+        assert sql.strip(), name
