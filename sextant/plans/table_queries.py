@@ -41,17 +41,18 @@ def _part(spark, sf):
 
 # P1 -------------------------------------------------------------------------
 @query("split_composite_key", sql="""
-SELECT c_custkey, TRY_CAST(split_part(c_name, '#', 1) AS BIGINT) AS key_group,
-       TRY_CAST(split_part(c_name, '#', 2) AS BIGINT) AS key_member,
-       TRY_CAST(split_part(s.b, '#', 2) AS BIGINT) AS brand_no
-FROM customer c LEFT JOIN (SELECT p_partkey, p_brand AS b FROM part) s ON c.c_custkey = s.p_partkey""")
+SELECT 'customer' AS source, c_custkey AS key, TRY_CAST(split_part(c_name, '#', 1) AS BIGINT) AS key_group,
+       TRY_CAST(split_part(c_name, '#', 2) AS BIGINT) AS key_member FROM customer
+UNION ALL
+SELECT 'part', p_partkey, TRY_CAST(split_part(p_brand, '#', 1) AS BIGINT),
+       TRY_CAST(split_part(p_brand, '#', 2) AS BIGINT) FROM part""")
 def split_composite_key_q(spark, sf):
-    c = read_table(spark, sf, "customer").select("c_custkey", "c_name")
-    p = read_table(spark, sf, "part").select(F.col("p_partkey").alias("c_custkey"), F.col("p_brand").alias("b"))
-    g, m = split_composite_key("c_name", "#")
-    _, bn = split_composite_key("b", "#")
-    return c.join(p, "c_custkey", "left").select("c_custkey", g.alias("key_group"), m.alias("key_member"),
-                                                 bn.alias("brand_no"))
+    c = read_table(spark, sf, "customer").select(F.lit("customer").alias("source"),
+                                                  F.col("c_custkey").alias("key"), F.col("c_name").alias("_k"))
+    p = read_table(spark, sf, "part").select(F.lit("part").alias("source"),
+                                              F.col("p_partkey").alias("key"), F.col("p_brand").alias("_k"))
+    g, m = split_composite_key("_k", "#")
+    return c.unionByName(p).select("source", "key", g.alias("key_group"), m.alias("key_member"))
 
 
 # P2 -------------------------------------------------------------------------
