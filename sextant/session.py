@@ -25,6 +25,18 @@ _SCALE_CONF = {
 }
 
 
+def _default_driver_memory() -> str:
+    """About 60 % of the machine's memory, between 1 and 16 GB (local mode runs
+    everything in the driver JVM)."""
+    try:
+        with open("/proc/meminfo") as f:
+            total_kb = next(int(line.split()[1]) for line in f if line.startswith("MemTotal:"))
+        mb = int(total_kb / 1024 * 0.6)
+    except (OSError, StopIteration, ValueError):
+        mb = 4096
+    return f"{max(1024, min(mb, 16384))}m"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "sextant") -> SparkSession:
     """A local session for tests and benches (UI off, AQE on)."""
@@ -34,7 +46,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("SEXTANT_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("SEXTANT_DRIVER_MEMORY", _default_driver_memory()))
     )
     for k, v in _SCALE_CONF.items():
         builder = builder.config(k, v)
