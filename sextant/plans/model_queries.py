@@ -152,3 +152,20 @@ def mixup_augment(spark, sf):
 def text_svd(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", "text")
     return encode.text_svd(d, "doc_id", "text", 5, 1000)
+
+
+@query("blend_candidates_stacked")
+def blend_candidates_stacked(spark, sf):
+    """The full candidate choice: logistic meta-blend over (trees, neural net)
+    with C = 0.3, the fixed mixes, and trees alone; trees win ties, then the
+    meta-blend, then the mixes in order."""
+    from ..operators import evaluate
+    from .score_queries import MLP_WEIGHTS
+    s = scores_view(spark, sf).where("is_train")
+    meta = models.stack_logistic(s, "id", "y", ["p_avg", "p_mlp"], C=0.3).select(
+        "id", F.col("stack_prob").alias("p_meta"))
+    s = s.join(meta, "id")
+    cands = {"trees": F.col("p_avg"), "lr_meta": F.col("p_meta")}
+    for w in MLP_WEIGHTS:
+        cands[f"mix_{w:.2f}"] = F.lit(1 - w) * F.col("p_avg") + F.lit(w) * F.col("p_mlp")
+    return evaluate.choose_candidate(s, "id", "y", cands, list(cands))
