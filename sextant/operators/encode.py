@@ -198,6 +198,9 @@ def text_svd(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_features
     from pyspark.ml.linalg import Vectors
     from pyspark.ml.stat import Correlation, Summarizer
 
+    if max_features is None or max_features > 20_000:
+        # the vocabulary and its Gram matrix (max_features^2 doubles) live on the driver
+        raise ValueError("text_svd needs max_features <= 20000")
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")).repartition("id")
     toks = docs.select("id", F.explode(_token_array("_t")).alias("term"))
     tf = toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
