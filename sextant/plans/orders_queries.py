@@ -503,3 +503,14 @@ def solo_group_split(spark, sf):
     o = orders_view(spark, sf).select("id", "grp")
     o = stats.lookup(o, stats.group_size_table(o, "grp", "_n"), "grp")
     return o.agg(F.count_if(F.col("_n") == 1).alias("n_solo"), F.count_if(F.col("_n") > 1).alias("n_in_group"))
+
+
+# J1 / J2 with a salted join ------------------------------------------------
+@query("lookup_join_salted", sql=W + """
+, gs AS (SELECT grp, count(*) AS n FROM o GROUP BY grp)
+SELECT o.id, gs.n AS grp_size FROM o LEFT JOIN gs ON o.grp = gs.grp""")
+def lookup_join_salted(spark, sf):
+    """Group sizes joined back with the salted lookup (each key spread over 8
+    join tasks), the path for hot keys without AQE's skew split."""
+    o = orders_view(spark, sf).select("id", "grp")
+    return stats.lookup(o, stats.group_size_table(o, "grp", "grp_size"), "grp", salt=8).select("id", "grp_size")
