@@ -169,3 +169,21 @@ def blend_candidates_stacked(spark, sf):
     for w in MLP_WEIGHTS:
         cands[f"mix_{w:.2f}"] = F.lit(1 - w) * F.col("p_avg") + F.lit(w) * F.col("p_mlp")
     return evaluate.choose_candidate(s, "id", "y", cands, list(cands))
+
+
+@query("text_features_oof")
+def text_features_oof(spark, sf):
+    """Text dimensions feeding a model, as in the source: the SVD is fitted on
+    all documents (labelled and not), a forest is cross-validated on the
+    labelled ones (label: quality) and scores the rest."""
+    d = read_table(spark, sf, "documents").select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars"))
+    lab = read_table(spark, sf, "labels").select("doc_id", "quality")
+    svd = encode.text_svd(d.select("doc_id", "text"), "doc_id", "text", 5, 1000)
+    feats = svd.join(d.select("doc_id", "n_chars"), "doc_id").withColumnRenamed("doc_id", "id")
+    cols = [f"svd_{j}" for j in range(5)] + ["n_chars"]
+    labelled = feats.join(lab.withColumnRenamed("doc_id", "id"), "id")
+    unlabelled = feats.join(lab.withColumnRenamed("doc_id", "id"), "id", "left_anti")
+    preds = models.fold_runner(labelled, "id", "quality", cols,
+                               lambda s, f: models.forest(s, numTrees=30, maxDepth=6), "text_forest",
+                               [42], 3, unlabelled, parallelism=3)
+    return models.average_predictions(preds, "id")
