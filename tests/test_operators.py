@@ -274,3 +274,9 @@ def test_ordinal_codes_shared_prefix_and_partitioning(spark):
     for n in (1, 7, 32):
         got = {r["value"]: r["code"] for r in encode.ordinal_codes(df.repartition(5), "c", n_buckets=n).collect()}
         assert got == want
+
+
+def test_text_svd_needs_bounded_vocabulary(spark):
+    df = spark.createDataFrame([(1, "red ring")], "id int, text string")
+    with pytest.raises(ValueError):
+        encode.text_svd(df, "id", "text", 2, max_features=None)

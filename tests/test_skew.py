@@ -49,3 +49,35 @@ def test_percentile_on_hot_key(hot):
                                                                    n_chunks=8).collect()}
         for k, g in pdf.groupby("k"):
             assert got[k] == pytest.approx(g["x"].median())
+
+
+def test_group_consistency_on_hot_key(hot):
+    df, pdf = hot
+    d = df.withColumn("p", (F.col("x") / 10.1))
+    got = {r["id"]: r["prob_adj"] for r in groups.group_consistency(d, "k", "p", None).collect()}
+    p = pdf["x"] / 10.1
+    m = p.groupby(pdf["k"]).transform("mean")
+    n = p.groupby(pdf["k"]).transform("count")
+    for i, pi, mi, ni in zip(pdf["id"], p, m, n):
+        if ni >= 3 and mi > 0.75:
+            want = min(max(pi * 0.7 + 0.3, 0.5), 1.0)
+        elif ni >= 3 and mi < 0.25:
+            want = min(max(pi * 0.7, 0.0), 0.5)
+        else:
+            want = pi
+        assert got[i] == pytest.approx(want)
+
+
+def test_oof_target_encoding_on_hot_key(hot):
+    from sextant.operators import encode, folds
+    df, pdf = hot
+    d = folds.stratified_folds(df, "id", 5, 42)
+    got = {r["id"]: r["te_k"] for r in encode.target_encode_oof(
+        d.withColumn("k", F.col("k").cast("string")), ["k"], "y", "fold", 10.0, prior=0.5).collect()}
+    fpdf = d.select("id", "k", "y", "fold").toPandas()
+    tot = fpdf.groupby("k")["y"].agg(["sum", "count"])
+    own = fpdf.groupby(["k", "fold"])["y"].agg(["sum", "count"])
+    for i, k, f in zip(fpdf["id"], fpdf["k"], fpdf["fold"]):
+        s = tot.loc[k, "sum"] - own.loc[(k, f), "sum"]
+        n = tot.loc[k, "count"] - own.loc[(k, f), "count"]
+        assert got[i] == pytest.approx((s + 10 * 0.5) / (n + 10))
