@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import zero_under_flag
 from ..session import cut_lineage
-from .stats import attach_global, fill_from_table, global_mode, lookup, mode_table, percentile_table
+from .stats import (attach_global, fill_from_table, global_mode, lookup, mode_table, one_row,
+                    percentile_table)
 
 
 def impute_group_mode(df: DataFrame, key: str, col: str) -> DataFrame:
@@ -65,7 +66,7 @@ def impute_median_cascade(df: DataFrame, col: str, group_keys: Sequence[str],
     for i, k in enumerate(group_keys):
         t = meds.where(F.col("_ks") == i).select(F.col("_kv").alias(f"_kv{i}"), F.col("_med").alias(f"_med{i}"))
         out = out.join(t, F.col(k).cast("string") == F.col(f"_kv{i}"), "left").drop(f"_kv{i}")
-    out = attach_global(out, meds.where(F.col("_ks") == n).select(F.col("_med").alias("_medg")))
+    out = attach_global(out, one_row(meds.where(F.col("_ks") == n).select(F.col("_med").alias("_medg"))))
     out = out.withColumn(col, F.coalesce(F.col(col), *[F.col(f"_med{i}") for i in range(n)], F.col("_medg")))
     return out.drop(*[f"_med{i}" for i in range(n)], "_medg")
 

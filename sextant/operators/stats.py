@@ -118,12 +118,18 @@ def percentile_table(df: DataFrame, keys, cols, ps, names=None, method: str = "a
     else:
         t = _chunked_percentiles(vc, gk, ps, n_chunks, accuracy)
     if len(cols) == 1:      # one column: no pivot (and no extra shuffle) needed
-        return t.select(*keys, *[F.col(f"_p{j}").alias(name(cols[0], j)) for j in range(len(ps))])
-    wide = t.groupBy(*keys).pivot("_ci", list(range(len(cols)))).agg(
-        *[F.first(f"_p{j}").alias(f"p{j}") for j in range(len(ps))])
-    single = len(ps) == 1
-    return wide.select(*keys, *[F.col(f"{i}" if single else f"{i}_p{j}").alias(name(c, j))
-                                for i, c in enumerate(cols) for j in range(len(ps))])
+        out = t.select(*keys, *[F.col(f"_p{j}").alias(name(cols[0], j)) for j in range(len(ps))])
+    else:
+        wide = t.groupBy(*keys).pivot("_ci", list(range(len(cols)))).agg(
+            *[F.first(f"_p{j}").alias(f"p{j}") for j in range(len(ps))])
+        single = len(ps) == 1
+        out = wide.select(*keys, *[F.col(f"{i}" if single else f"{i}_p{j}").alias(name(c, j))
+                                   for i, c in enumerate(cols) for j in range(len(ps))])
+    if not keys:
+        # a global statistic is always one row (NULL when there is no value),
+        # like a global aggregate, so attaching it never drops data rows
+        out = one_row(out)
+    return out
 
 
 def _chunked_percentiles(vc: DataFrame, gk: list, ps, n_chunks: int, accuracy: int) -> DataFrame:
@@ -182,6 +188,13 @@ def lookup(df: DataFrame, table: DataFrame, keys, defaults: dict | None = None,
     return out
 
 
+def one_row(table: DataFrame) -> DataFrame:
+    """Exactly one row: the table's single row, or one row of NULLs when the
+    table is empty (as a global aggregate over no values)."""
+    return (table.sparkSession.range(1).select(F.lit(0).alias("_one"))
+            .join(table.withColumn("_one", F.lit(0)), "_one", "left").drop("_one"))
+
+
 def attach_global(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach a one-row statistic table to every row (broadcast: size is 1 row).
     This is the only cross product in the library besides fixed small grids:

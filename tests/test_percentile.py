@@ -35,3 +35,13 @@ def test_distributed_global_and_null_group(spark):
     assert g["x_q0"] == pytest.approx(3.0) and g["x_q1"] == pytest.approx(1.3)
     keyed = {r["k"]: r["x_q0"] for r in percentile_table(df, "k", "x", [0.5]).collect()}
     assert keyed == {1: 3.0}
+
+
+def test_global_percentile_of_all_null_column_is_one_null_row(spark):
+    from sextant.operators import impute
+    df = spark.createDataFrame([(1, 1, None), (2, 1, None)], "id int, g int, x double")
+    for method in ("auto", "distributed", "exact"):
+        rows = percentile_table(df, [], "x", [0.5], method=method).collect()
+        assert len(rows) == 1 and rows[0]["x_q0"] is None
+    out = impute.impute_median_cascade(df, "x", ["g"])
+    assert out.count() == 2 and out.where("x IS NOT NULL").count() == 0
