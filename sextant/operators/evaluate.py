@@ -69,7 +69,7 @@ def threshold_sweep(df: DataFrame, prob: str, label: str,
         cut_value(F.col("bucket")).alias("threshold"),
         (F.col("_tpos") - F.col("_cpos") + F.col("_cneg")).cast("bigint").alias("correct"),
         F.col("_n").cast("bigint").alias("n"))
-    return res.withColumn("accuracy", F.col("correct") / F.col("n"))
+    return res.withColumn("accuracy", F.try_divide(F.col("correct"), F.col("n")))
 
 
 def best_threshold(sweep: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -81,7 +81,7 @@ def best_threshold(sweep: DataFrame, group: Sequence[str] = ()) -> DataFrame:
             F.max("correct").alias("correct"),
             F.first("n").alias("n")]
     out = sweep.groupBy(*group).agg(*aggs) if group else sweep.agg(*aggs)
-    return out.withColumn("accuracy", F.col("correct") / F.col("n"))
+    return out.withColumn("accuracy", F.try_divide(F.col("correct"), F.col("n")))
 
 
 def stack_candidates(df: DataFrame, id_col: str, label: str, cands: dict[str, Column]) -> DataFrame:
@@ -159,7 +159,8 @@ def roc_auc(df: DataFrame, prob: str, label: str, group: Sequence[str] = (),
     per = per.join(ch, group + ["_chunk"])
     per = per.withColumn("_below", F.col("_off") + F.sum("_neg").over(win) - F.col("_neg"))
     contrib = F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)
-    aggs = [(F.sum(contrib) / (F.sum("_pos") * F.sum("_neg"))).alias("auc"),
+    # one class only: AUC is undefined -> NULL (try_divide: no error under ANSI mode)
+    aggs = [F.try_divide(F.sum(contrib), F.sum("_pos") * F.sum("_neg")).alias("auc"),
             F.sum("_pos").cast("bigint").alias("n_pos"), F.sum("_neg").cast("bigint").alias("n_neg")]
     return per.groupBy(*group).agg(*aggs) if group else per.agg(*aggs)
 
