@@ -75,13 +75,22 @@ def impute_amounts(df: DataFrame, amounts: Sequence[str], flag: str, category: s
                    method: str = "auto") -> DataFrame:
     """Amounts: zero where ``flag``; missing -> median in ``category`` (zeros
     included) -> global median; zero where ``flag`` again. All columns' medians
-    in one grouped aggregate and one global aggregate."""
+    in one pass: each row counts once under its category (key set 0) and once
+    under the global set (key set 1), as in ``impute_median_cascade``, so the
+    input is read and measured once for both levels."""
     out = df
     for c in amounts:
         out = out.withColumn(c, zero_under_flag(c, flag))
-    cat_t = percentile_table(out, category, amounts, [0.5], {(c, 0.5): f"_cm_{c}" for c in amounts}, method)
-    glob = percentile_table(out, [], amounts, [0.5], {(c, 0.5): f"_gm_{c}" for c in amounts}, method)
-    out = attach_global(lookup(out, cat_t, category), glob)
+    sets = F.array(F.struct(F.lit(0).alias("_ks"), F.col(category).cast("string").alias("_kv")),
+                   F.struct(F.lit(1).alias("_ks"), F.lit(None).cast("string").alias("_kv")))
+    stacked = out.select(*amounts, F.explode(sets).alias("_k")).select("_k._ks", "_k._kv", *amounts)
+    meds = percentile_table(stacked, ["_ks", "_kv"], amounts, [0.5], {(c, 0.5): f"_m_{c}" for c in amounts},
+                            method)
+    cat_t = meds.where(F.col("_ks") == 0).select(F.col("_kv").alias("_cat"),
+                                                  *[F.col(f"_m_{c}").alias(f"_cm_{c}") for c in amounts])
+    glob = one_row(meds.where(F.col("_ks") == 1).select(*[F.col(f"_m_{c}").alias(f"_gm_{c}") for c in amounts]))
+    out = out.join(cat_t, F.col(category).cast("string") == F.col("_cat"), "left").drop("_cat")
+    out = attach_global(out, glob)
     for c in amounts:
         out = out.withColumn(c, zero_under_flag(F.coalesce(F.col(c), F.col(f"_cm_{c}"), F.col(f"_gm_{c}")), flag))
     return out.drop(*[f"_cm_{c}" for c in amounts], *[f"_gm_{c}" for c in amounts])
