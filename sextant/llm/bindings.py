@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .common import REGISTRY, documents, query
 from .jaccard import ngram_jaccard_join
+from .mixing import mix_sources
+from .sharding import place
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,6 +40,57 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(documents(spark, sf_dir)).drop("class_size")
 
 
+SHARDS = [f"shard-{i:02d}" for i in range(16)]
+TABLE_SIZE = 4099
+
+_H = "CAST(CAST(('0x' || substr(md5({0}), 1, 8)) AS UBIGINT) AS BIGINT)"
+OP4_SQL = f"""WITH RECURSIVE
+s AS (SELECT i, {_H.format("'shard-' || lpad(CAST(i AS VARCHAR), 2, '0') || ':offset'")} % {TABLE_SIZE} AS o,
+             {_H.format("'shard-' || lpad(CAST(i AS VARCHAR), 2, '0') || ':skip'")} % {TABLE_SIZE - 1} + 1 AS k
+      FROM range({len(SHARDS)}) t(i)),
+pref AS (SELECT i, list((o + j * k) % {TABLE_SIZE} ORDER BY j) AS p FROM s, range({TABLE_SIZE}) u(j) GROUP BY i),
+fill(turn, slot, free) AS (
+  SELECT 0, CAST(-1 AS BIGINT), list_transform(range({TABLE_SIZE}), lambda x: true)
+  UNION ALL
+  SELECT turn + 1, c, list_transform(free, lambda v, ix: v AND ix <> c + 1)
+  FROM (SELECT turn, free, list_filter(p, lambda q: free[q + 1])[1] AS c
+        FROM fill JOIN pref ON pref.i = turn % {len(SHARDS)} WHERE turn < {TABLE_SIZE})),
+owner AS (SELECT slot, CAST((turn - 1) % {len(SHARDS)} AS INTEGER) AS shard FROM fill WHERE slot >= 0)
+SELECT d.doc_id, CAST(slot AS INTEGER) AS slot, shard
+FROM documents d JOIN owner ON {_H.format("coalesce(CAST(d.doc_id AS VARCHAR), '')")} % {TABLE_SIZE} = slot"""
+
+
+@query("op4_sharding", OP4_SQL)
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return place(documents(spark, sf_dir).select("doc_id"), SHARDS, TABLE_SIZE)
+
+
+OP5_SQL = r"""WITH r AS (SELECT doc_id, source,
+  CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix') AS key FROM documents),
+t0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM r GROUP BY source),
+t1 AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS no FROM t0),
+t2 AS (SELECT *, CASE (no - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w,
+  2.0::DOUBLE * source_size AS cap FROM t1),
+t3 AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+    - (sum(cap) OVER (ORDER BY cap / w, no) - cap)) / (sum(w) OVER () - sum(w) OVER (ORDER BY cap / w, no) + w) AS level,
+  row_number() OVER (ORDER BY cap / w, no) AS pos FROM t2),
+t4 AS (SELECT *, (SELECT level FROM t3 WHERE cap / w >= level ORDER BY pos LIMIT 1) AS lam FROM t3),
+t AS (SELECT source, source_size, coalesce(least(cap, w * lam), cap) AS target FROM t4),
+p AS (SELECT doc_id, size, source_size, target, CAST(floor(target) AS BIGINT) AS whole,
+  CAST(sum(size) OVER (PARTITION BY r.source ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS BIGINT)
+    - size AS before
+  FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT *, CASE WHEN source_size > 0 THEN whole // source_size ELSE 0 END AS copies FROM p)
+SELECT doc_id, size, source_size, target,
+  copies * size + greatest(0, least(size, whole - copies * source_size - before)) AS taken FROM q"""
+
+
+@query("op5_mixing", OP5_SQL)
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries():
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
