@@ -11,6 +11,7 @@ from .common import REGISTRY, documents, query
 from .jaccard import ngram_jaccard_join
 from .mixing import mix_sources
 from .sharding import place
+from .vptree import nearest
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -91,6 +92,22 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+OP9_SQL = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.v, b.v) AS score
+  FROM e a JOIN e b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk FROM p)
+SELECT query_id, CAST(rk AS INTEGER) AS rank, vec_id, score FROM r WHERE rk <= 20"""
+
+
+@query("op9_vantage_point_search", OP9_SQL)
+def op9_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings")
+    return nearest(e, e.where("vec_id % 20 = 0"), k=20, factor=1.0)
+
+
 def queries():
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
