@@ -11,6 +11,7 @@ from .common import REGISTRY, documents, query
 from .jaccard import ngram_jaccard_join
 from .mixing import mix_sources
 from .sharding import place
+from .tiling import contaminated
 from .vptree import nearest
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -108,6 +109,11 @@ def op9_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(e, e.where("vec_id % 20 = 0"), k=20, factor=1.0)
 
 
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def queries():
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

@@ -72,6 +72,11 @@ def crc_mod(id_col: str, mod: int):
     return F.crc32(F.col(id_col).cast("string")) % F.lit(mod)
 
 
+def word_count(text_col: str):
+    """Number of words in a text, 0 for NULL."""
+    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (src, dst longs) by alternating
     large-star and small-star rounds: (node, root), root the smallest node of

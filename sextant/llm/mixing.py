@@ -21,11 +21,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, small, staged
-
-
-def word_count(text_col: str):
-    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+from .common import small, staged, word_count
 
 
 def source_targets(totals: DataFrame, weights: list[int], share: float, max_epochs: int) -> DataFrame:
