@@ -12,6 +12,7 @@ from .jaccard import ngram_jaccard_join
 from .mixing import mix_sources
 from .sharding import place
 from .tiling import contaminated
+from .toxicity import toxicity
 from .vptree import nearest
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -114,6 +115,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).drop("terms")
+
+
 def queries():
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
