@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .common import REGISTRY, documents, query
 from .jaccard import ngram_jaccard_join
+from .langmix import identify_languages
 from .mixing import mix_sources
 from .sharding import place
 from .tiling import contaminated
@@ -120,6 +121,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).drop("terms")
 
 
+@query("op1_language_mixture")
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(documents(spark, sf_dir))
+
+
 def queries():
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
