@@ -10,6 +10,7 @@ from ..sources.tables import read_table
 from .common import REGISTRY, documents, query
 from .jaccard import ngram_jaccard_join
 from .langmix import identify_languages
+from .linetemplates import drop_recurring_lines
 from .mixing import mix_sources
 from .sharding import place
 from .tiling import contaminated
@@ -126,6 +127,11 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(documents(spark, sf_dir))
 
 
+@query("op3_line_templates")
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_recurring_lines(documents(spark, sf_dir))
+
+
 def queries():
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
