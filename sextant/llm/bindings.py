@@ -14,6 +14,7 @@ from .linetemplates import drop_recurring_lines
 from .mixing import mix_sources
 from .sharding import place
 from .tiling import contaminated
+from .tokenfile import read_documents, token_folder, write_tokens
 from .toxicity import toxicity
 from .vptree import nearest
 
@@ -42,7 +43,7 @@ FROM docs d LEFT JOIN cn USING (doc_id) LEFT JOIN reach r ON r.x = d.doc_id GROU
 
 @query("op2_ngram_jaccard", OP2_SQL)
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard_join(documents(spark, sf_dir)).drop("class_size")
+    return ngram_jaccard_join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
@@ -132,6 +133,14 @@ def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_recurring_lines(documents(spark, sf_dir))
 
 
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    folder = token_folder(spark)
+    parts = write_tokens(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return read_documents(spark, folder, parts)
+
+
 def queries():
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
