@@ -12,8 +12,8 @@ by itself and the partial results are summed per set or per pair:
    have a partner and leaves. N-grams travel as packed blobs, one row per task
    flush and fragment; an n-gram that several classes of a flush hold travels
    once, so a phrase of a third of the corpus is pre-aggregated.
-3. *First links.* Each class is compared with the smallest class that shares a
-   min-hash value with it. Large groups of near copies fall into one
+3. *First links.* Each class is compared with the most typical class that shares
+   a min-hash value with it. Large groups of near copies fall into one
    component here with a handful of candidates per class.
 4. *Remaining links, exactly.* Only links between different components are
    still of interest. Classes whose n-grams held by other components reach the
@@ -40,7 +40,7 @@ from .common import components, ship, small, staged
 
 _U = np.uint64
 _MULTI = 0xFFFFFF
-FP_SCHEMA = "doc_id long, n long, f1 long, f2 long"
+FP_SCHEMA = "doc_id long, n long, f1 long, f2 long, text_key long"
 
 
 def _sets(column, k):
@@ -55,14 +55,14 @@ def _sets(column, k):
 
 
 def fingerprints(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, f1, f2) per row of ``docs`` (doc_id, text)."""
+    """(doc_id, n, f1, f2, text_key) per row of ``docs`` (doc_id, text, text_key)."""
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
+            ids, keys = batch.column(0), batch.column(2)
             for a, m, _, _, n, f1, f2 in _sets(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, m), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64))],
-                    names=["doc_id", "n", "f1", "f2"])
+                    [ids.slice(a, m), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
+                     keys.slice(a, m)], names=["doc_id", "n", "f1", "f2", "text_key"])
     return docs.mapInArrow(run, FP_SCHEMA)
 
 
@@ -79,112 +79,168 @@ def _unplanes(b: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _flush(gram, owner_f1, n_frag):
-    """Pack the (40-bit n-gram, class) postings of a flush: rows
-    (fragment, grams, owners, table, count) for the fragments, and the counts
-    of n-grams already seen to be shared within the flush."""
-    table, owner = np.unique(owner_f1, return_inverse=True)
-    key = np.unique((gram << _U(24)) | owner.astype(np.uint64))
-    g, o = key >> _U(24), (key & _U(_MULTI)).astype(np.int64)
+def _flush(gram, owner, member, n_frag):
+    """Pack the postings of a flush: 40-bit n-gram, class or component (owner) and
+    class (member) that holds it. Rows (fragment, grams, members, table) for the
+    fragments, and members with the number of their n-grams that were already seen
+    with two owners here; of such an n-gram one posting travels."""
+    table, at = np.unique(member, return_index=True)
+    owner_of = owner[at]
+    m = np.searchsorted(table, member)
+    key = np.unique((gram << _U(24)) | m.astype(np.uint64))
+    g, m = key >> _U(24), (key & _U(_MULTI)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
     size = np.diff(np.r_[first, len(g)])
-    shared = np.repeat(size > 1, size)
-    local = np.bincount(o[shared], minlength=len(table))
+    own = owner_of[m]
+    several = np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
+    shared = np.repeat(several, size)
+    local = np.bincount(m[shared], minlength=len(table))
     hit = np.flatnonzero(local)
-    g1 = g[first]
-    o1 = np.where(size > 1, _MULTI, o[first])
+    head = np.zeros(len(g), dtype=bool)
+    head[first] = True
+    send = ~shared | head
+    g1, m1 = g[send], np.where(shared, _MULTI, m)[send]
     frag = ((g1 * _U(n_frag)) >> _U(40)).astype(np.int64)
     cuts = np.searchsorted(frag, np.arange(n_frag + 1))
-    rows = {"frag": [], "grams": [], "owners": [], "table": []}
+    rows = {"frag": [], "grams": [], "members": [], "table": [], "owners": []}
+    same = bool((owner_of == table).all())
     for f in range(n_frag):
         a, b = cuts[f], cuts[f + 1]
         if a == b:
             continue
-        part = o1[a:b]
+        part = m1[a:b]
         used = np.unique(part[part != _MULTI])
         idx = np.where(part == _MULTI, len(used), np.searchsorted(used, part))
         rows["frag"].append(f)
         rows["grams"].append(_planes(np.diff(g1[a:b], prepend=_U(0)), 5))
-        rows["owners"].append(_planes(idx, 3))
+        rows["members"].append(_planes(idx, 3))
         rows["table"].append(table[used].tobytes())
+        rows["owners"].append(b"" if same else owner_of[used].tobytes())
     return rows, table[hit], local[hit]
 
 
-def shared_counts(docs: DataFrame, k: int, n_frag: int, flush: int = 1_500_000) -> DataFrame:
-    """(f1, credit): an upper bound, per class, of its n-grams that some other
-    class holds too (leading 40 bits compared; collisions only raise it)."""
-    def pack(batches):
-        gram, own, have = [], [], 0
-
-        def emit():
-            rows, f1, cnt = _flush(np.concatenate(gram), np.concatenate(own), n_frag)
-            # the flush's own counts travel under a negative fragment, any will do
-            mine = -1 - int(f1[0] % _U(1 << 16)) if len(f1) else -1
-            return pa.RecordBatch.from_arrays(
-                [pa.array(rows["frag"] + [mine], pa.int32()), pa.array(rows["grams"] + [b""], pa.binary()),
-                 pa.array(rows["owners"] + [cnt.astype("<u4").tobytes()], pa.binary()),
-                 pa.array(rows["table"] + [f1.tobytes()], pa.binary())],
-                names=["frag", "grams", "owners", "tab"])
-
-        for batch in batches:
-            for _, _, doc, h, _, f1, _ in _sets(batch.column(0), k):
-                gram.append(h >> _U(24))
-                own.append(f1[doc])
-                have += len(h)
-                if have >= flush:
-                    yield emit()
-                    gram, own, have = [], [], 0
-        if have:
-            yield emit()
+def _pack(source, n_frag: int, flush: int):
+    """Record batches of packed postings from (gram, owner, member) arrays."""
+    def emit(parts):
+        gram, owner, member = (np.concatenate(x) for x in zip(*parts))
+        rows, who, cnt = _flush(gram, owner, member, n_frag)
+        # the flush's own counts travel under a negative fragment, any will do
+        mine = -1 - int(who[0] % _U(1 << 16)) if len(who) else -1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows["frag"] + [mine], pa.int32()), pa.array(rows["grams"] + [b""], pa.binary()),
+             pa.array(rows["members"] + [cnt.astype("<u4").tobytes()], pa.binary()),
+             pa.array(rows["table"] + [who.tobytes()], pa.binary()), pa.array(rows["owners"] + [b""], pa.binary())],
+            names=["frag", "grams", "members", "tab", "owners"])
+
+    parts, have = [], 0
+    for part in source:
+        parts.append(part)
+        have += len(part[0])
+        if have >= flush:
+            yield emit(parts)
+            parts, have = [], 0
+    if have:
+        yield emit(parts)
+
+
+PACKED = "frag int, grams binary, members binary, tab binary, owners binary"
+
+
+def _tally(packed: DataFrame, n_frag: int) -> DataFrame:
+    """(member, credit): per member the number of its n-grams that another owner
+    holds too. Leading 40 bits are compared, and a member met in several flushes may
+    be credited twice: the count is an upper bound."""
+    def bucketed(who, cnt):
+        bucket = (who >> _U(40)) % _U(n_frag)
+        order = np.argsort(bucket, kind="stable")
+        who, cnt, bucket = who[order], cnt[order], bucket[order]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(who) else [0]
+        return pa.table({"bucket": pa.array(bucket[cuts[:-1]].astype(np.int32) if len(who) else [], pa.int32()),
+                         "who": pa.array([who[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                         "cnt": pa.array([_planes(cnt[x:y], 4) for x, y in zip(cuts[:-1], cuts[1:])], pa.binary())})
 
     def count(key, table):
+        cols = [table[c].to_pylist() for c in ("grams", "members", "tab", "owners")]
         if key[0].as_py() < 0:
-            return pa.table({"f1": np.concatenate([np.frombuffer(t, dtype=np.int64) for t in table["tab"].to_pylist()]),
-                             "credit": np.concatenate([np.frombuffer(c, dtype="<u4").astype(np.int64)
-                                                       for c in table["owners"].to_pylist()])})
-        grams, owners = [], []
-        for gb, ob, tb in zip(table["grams"].to_pylist(), table["owners"].to_pylist(), table["tab"].to_pylist()):
-            tab = np.frombuffer(tb, dtype=np.uint64)
+            return bucketed(np.concatenate([np.frombuffer(t, dtype=np.uint64) for t in cols[2]]),
+                            np.concatenate([np.frombuffer(c, dtype="<u4").astype(np.uint64) for c in cols[1]]))
+        grams, members, owners, flags = [], [], [], []
+        for gb, mb, tb, ob in zip(*cols):
+            tab, at = np.frombuffer(tb, dtype=np.uint64), _unplanes(mb, 3).astype(np.int64)
+            own = np.frombuffer(ob, dtype=np.uint64) if ob else tab
             grams.append(np.cumsum(_unplanes(gb, 5), dtype=np.uint64))
-            # the last entry stands for "several classes"
-            owners.append(np.r_[tab, _U(0)][_unplanes(ob, 3).astype(np.int64)])
-            multi = _unplanes(ob, 3) == _U(len(tab))
-            grams[-1] = (grams[-1] << _U(1)) | multi.astype(np.uint64)
-        g, o = np.concatenate(grams), np.concatenate(owners)
-        multi = (g & _U(1)).astype(bool)
-        g >>= _U(1)
-        order = np.lexsort((o, multi, g))
-        g, o, multi = g[order], o[order], multi[order]
-        new = np.r_[True, (g[1:] != g[:-1]) | (o[1:] != o[:-1]) | (multi[1:] != multi[:-1])]
-        g, o, multi = g[new], o[new], multi[new]
+            members.append(np.r_[tab, _U(0)][at])
+            owners.append(np.r_[own, _U(0)][at])
+            flags.append(at == len(tab))          # the last entry stands for "several owners"
+        g, m, o, multi = (np.concatenate(x) for x in (grams, members, owners, flags))
+        order = np.argsort(g, kind="stable")
+        g, m, o, multi = g[order], m[order], o[order], multi[order]
         first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
         size = np.diff(np.r_[first, len(g)])
-        some = np.repeat((size > 1), size) & ~multi
-        f1, cnt = np.unique(o[some], return_counts=True)
-        return pa.table({"f1": pa.array(f1.view(np.int64)), "credit": pa.array(cnt.astype(np.int64))})
+        lo = np.minimum.reduceat(np.where(multi, _U(0xFFFFFFFFFFFFFFFF), o), first)
+        hi = np.maximum.reduceat(np.where(multi, _U(0), o), first)
+        some = (lo < hi) | (np.add.reduceat(multi.astype(np.int64), first) > 0)
+        pick = np.repeat(some, size) & ~multi
+        g, m = g[pick], m[pick]
+        order = np.lexsort((m, g))                # copies of a member count once
+        g, m = g[order], m[order]
+        new = np.r_[True, (g[1:] != g[:-1]) | (m[1:] != m[:-1])] if len(g) else np.zeros(0, dtype=bool)
+        who, cnt = np.unique(m[new], return_counts=True)
+        return bucketed(who, cnt.astype(np.uint64))
+
+    def total(key, table):
+        who = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in table["who"].to_pylist()])
+        cnt = np.concatenate([_unplanes(x, 4) for x in table["cnt"].to_pylist()])
+        one, at = np.unique(who, return_inverse=True)
+        return pa.table({"member": pa.array(one.view(np.int64)),
+                         "credit": pa.array(np.bincount(at, weights=cnt.astype(np.float64)).astype(np.int64))})
+    return (packed.groupBy("frag").applyInArrow(count, "bucket int, who binary, cnt binary")
+            .groupBy("bucket").applyInArrow(total, "member long, credit long"))
 
-    packed = docs.select("text").mapInArrow(pack, "frag int, grams binary, owners binary, tab binary")
-    return (packed.groupBy("frag").applyInArrow(count, "f1 long, credit long")
-            .groupBy("f1").agg(F.sum("credit").alias("credit")))
+
+def shared_counts(docs: DataFrame, k: int, n_frag: int, flush: int = 1_500_000) -> DataFrame:
+    """(f1, credit): how many n-grams of a class some other class holds, at most."""
+    def run(batches):
+        def source():
+            for batch in batches:
+                for _, _, doc, h, _, f1, _ in _sets(batch.column(0), k):
+                    yield h >> _U(24), f1[doc], f1[doc]
+        yield from _pack(source(), n_frag, flush)
+    return _tally(docs.select("text").mapInArrow(run, PACKED), n_frag).withColumnRenamed("member", "f1")
+
+
+def _cross_counts(own: DataFrame, n_frag: int, flush: int = 1_500_000) -> DataFrame:
+    """(node, credit) from (node, comp, grams): n-grams another component holds."""
+    def run(batches):
+        def source():
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    size = np.asarray(part.column(2).value_lengths())
+                    gram = part.column(2).flatten().to_numpy().view(np.uint64) >> _U(24)
+                    node, comp = (part.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+                    yield gram, np.repeat(comp, size), np.repeat(node, size)
+        yield from _pack(source(), n_frag, flush)
+    return _tally(own.select("node", "comp", "grams").mapInArrow(run, PACKED), n_frag).withColumnRenamed("member", "node")
 
 
 def _class_sets(docs: DataFrame, keep: DataFrame, k: int) -> DataFrame:
-    """(node, n, grams array<long>) of the classes in ``keep`` (doc_id, f1, f2)."""
+    """(node, n, gap, grams array<long>) of the classes in ``keep`` (doc_id, f1, f2, gap)."""
     def run(batches):
         for batch in batches:
-            f1w, f2w = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            f1w, f2w, gap = (batch.column(i).to_numpy() for i in (1, 2, 3))
             for a, m, doc, h, n, f1, f2 in _sets(batch.column(0), k):
                 ok = (f1.view(np.int64) == f1w[a:a + m]) & (f2.view(np.int64) == f2w[a:a + m])
                 rows = np.flatnonzero(ok)
                 keep_g = ok[doc]
                 off = np.r_[0, np.cumsum(n[rows])].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(f1.view(np.int64)[rows]), pa.array(n[rows]),
+                    [pa.array(f1.view(np.int64)[rows]), pa.array(n[rows]), pa.array(gap[a:a + m][rows]),
                      pa.ListArray.from_arrays(pa.array(off), pa.array(h.view(np.int64)[keep_g]))],
-                    names=["node", "n", "grams"])
-    pick = small(keep.select(F.col("doc_id").alias("_kid"), "f1", "f2"))
-    joined = docs.join(pick, docs.doc_id == pick._kid).select("text", "f1", "f2")
-    return joined.mapInArrow(run, "node long, n long, grams array<long>").dropDuplicates(["node"])
+                    names=["node", "n", "gap", "grams"])
+    pick = small(keep.select(F.col("doc_id").alias("_kid"), "f1", "f2", "gap"))
+    joined = docs.join(pick, docs.doc_id == pick._kid).select("text", "f1", "f2", "gap")
+    return joined.mapInArrow(run, "node long, n long, gap long, grams array<long>").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -200,7 +256,9 @@ def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 
 def _first_candidates(sets: DataFrame, n_keys: int) -> DataFrame:
-    """(a, b): each class with the smallest class sharing a min-hash value."""
+    """(a, b): each class with the most typical class sharing a min-hash value: the
+    one with the fewest n-grams of its own. In a group of near copies that is the
+    text they all stem from, or close to it."""
     seeds = K.mix64(np.arange(1, n_keys + 1, dtype=np.uint64))
 
     def run(batches):
@@ -208,23 +266,53 @@ def _first_candidates(sets: DataFrame, n_keys: int) -> DataFrame:
             grams = batch.column(1)
             vals = grams.flatten().to_numpy().view(np.uint64)
             off = np.r_[0, np.cumsum(np.asarray(grams.value_lengths()))][:-1].astype(np.int64)
-            node = batch.column(0).to_numpy()
+            node, gap = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             if not len(node):
                 continue
             key = np.concatenate([np.minimum.reduceat(K.mix64(vals ^ s), off) for s in seeds])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(node, n_keys)), pa.array(np.repeat(np.arange(n_keys, dtype=np.int32), len(node))),
-                 pa.array(key.view(np.int64))], names=["node", "slot", "val"])
-    keys = sets.select("node", "grams").mapInArrow(run, "node long, slot int, val long")
-    low = keys.groupBy("slot", "val").agg(F.min("node").alias("lead"), F.count("*").alias("m")).where("m > 1")
+                 pa.array(key.view(np.int64)), pa.array(np.tile(gap, n_keys))], names=["node", "slot", "val", "gap"])
+    keys = sets.select("node", "grams", "gap").mapInArrow(run, "node long, slot int, val long, gap long")
+    low = (keys.groupBy("slot", "val").agg(F.min(F.struct("gap", "node")).alias("best"), F.count("*").alias("m"))
+           .where("m > 1").select("slot", "val", F.col("best.node").alias("lead")))
     return (keys.join(low, ["slot", "val"]).where("node <> lead")
             .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
 
 
-def _rest_candidates(sets: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+SKETCH = 16
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """(node, k0..k15): 1024 parity bits per set, each the number (odd or even) of
+    n-grams with that hash residue. Two sets differ in at least as many n-grams
+    as their sketches differ in bits."""
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                grams = part.column(1)
+                vals = grams.flatten().to_numpy().view(np.uint64)
+                row = np.repeat(np.arange(len(part)), np.asarray(grams.value_lengths()))
+                width = 64 * SKETCH
+                odd = np.bincount(row * width + (vals % _U(width)).astype(np.int64), minlength=len(part) * width) & 1
+                words = np.packbits(odd.astype(np.uint8).reshape(len(part), width), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0)] + [pa.array(np.ascontiguousarray(words[:, i])) for i in range(SKETCH)],
+                    names=["node"] + [f"k{i}" for i in range(SKETCH)])
+    return sets.select("node", "grams").mapInArrow(
+        run, "node long, " + ", ".join(f"k{i} long" for i in range(SKETCH)))
+
+
+def _rest_candidates(sets: DataFrame, comp: DataFrame, percent: int, fragment_grams: int) -> DataFrame:
     """(a, b): pairs of classes in different components that may still link."""
     own = sets.join(comp.withColumnRenamed("root", "comp"), "node", "left").withColumn(
         "comp", F.coalesce("comp", "node"))
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    credit = _cross_counts(own, max(8, math.ceil(total / fragment_grams)))
+    near = staged(credit.join(sets.select("node", "n"), "node")
+                  .where(F.lit(100) * F.col("credit") >= F.lit(percent) * F.col("n")).select("node"))
+    own = own.join(small(near), "node")
     post = own.select("node", "n", "comp", F.explode("grams").alias("gram"))
     cross = staged(post.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                             F.count("*").alias("df")).where("lo < hi").select("gram", "df"))
@@ -238,13 +326,23 @@ def _rest_candidates(sets: DataFrame, comp: DataFrame, percent: int) -> DataFram
         F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
     places = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / F.lit(100)) + 1 - (F.col("n") - F.col("m"))
     prefix = staged(w.where(places > 0).select(
-        "node", "n", "comp", F.explode(F.slice("g", F.lit(1), places.cast("int"))).alias("s"))
-        .select("node", "n", "comp", F.col("s.gram").alias("gram")))
-    x = prefix.select("gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = prefix.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+        "node", "n", "m", "comp", F.explode(F.slice("g", F.lit(1), places.cast("int"))).alias("s"))
+        .select("node", "n", "m", "comp", F.col("s.gram").alias("gram")))
+    ks = [f"k{i}" for i in range(SKETCH)]
+    prefix = prefix.join(_sketches(sets), "node")
+    x = prefix.select("gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"),
+                      F.col("comp").alias("ca"), *[F.col(k).alias(f"a{k}") for k in ks])
+    y = prefix.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"),
+                      F.col("comp").alias("cb"), *[F.col(k).alias(f"b{k}") for k in ks])
+    differ = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in ks), F.lit(0))
+    both = F.col("na") + F.col("nb")
     return (x.join(y, "gram")
             .where("a < b and ca <> cb")
             .where((F.lit(100) * F.least("na", "nb")) >= (F.lit(percent) * F.greatest("na", "nb")))
+            # the overlap is at most the smaller m; a link needs percent / (100 + percent) of both sizes
+            .where((F.lit(100 + percent) * F.least("ma", "mb")) >= (F.lit(percent) * both))
+            # and the sets may not differ in more n-grams than a link leaves room for
+            .where((F.lit(100 + percent) * (both - differ)) >= (F.lit(2 * percent) * both))
             .select("a", "b").distinct())
 
 
@@ -254,7 +352,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Groups of documents connected by n-gram Jaccard links.
 
     Returns one row per input row: (``doc_id``, ``n_shingles``, ``component_id``,
-    ``class_size``). Two documents link when 100 * intersection >= percent * union of
+    ``class_size``, ``text_key``: a hash of the text). Two documents link when 100 * intersection >= percent * union of
     their sets of distinct ``k``-word n-grams; ``component_id`` is the smallest id
     reachable. A text of 1..k-1 words has its whole sequence as its only n-gram.
 
@@ -266,24 +364,25 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     ``fragment_grams`` bounds the n-grams of one fragment; the number of
     fragments follows the corpus."""
-    spark = ship(docs.sparkSession)
+    ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    fp = staged(fingerprints(src, k))
+    fp = staged(fingerprints(src.withColumn("text_key", F.xxhash64("text")), k))
     total = fp.agg(F.sum("n")).first()[0] or 0
-    n_frag = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / fragment_grams))
+    n_frag = max(8, math.ceil(total / fragment_grams))
     classes = (fp.where("n > 0").groupBy("f1", "f2", "n")
                .agg(F.min("doc_id").alias("low"), F.count("*").alias("class_size")))
     credit = shared_counts(src, k, n_frag)
     # a class is named by f1; ids are only needed to find one of its texts again
     keep = staged(classes.where("low is not null").join(credit, "f1")
                   .where(F.lit(100) * F.col("credit") >= F.lit(percent) * F.col("n"))
-                  .select(F.col("low").alias("doc_id"), "f1", "f2", "n"))
+                  .select(F.col("low").alias("doc_id"), "f1", "f2",
+                          F.greatest(F.lit(0), F.col("n") - F.col("credit")).alias("gap")))
     sets = staged(_class_sets(src, keep, k))
     segments = staged(_segments(sets, n_segments))
     links = _verified(staged(_first_candidates(sets, n_keys)), segments, percent)
     links = staged(links)
     comp = components(links)
-    more = _verified(staged(_rest_candidates(sets, staged(comp), percent)), segments, percent)
+    more = _verified(staged(_rest_candidates(sets, staged(comp), percent, fragment_grams)), segments, percent)
     both = components(links.unionByName(more))
     named = classes.join(both.withColumnRenamed("node", "f1"), "f1", "left").withColumn(
         "root", F.coalesce("root", "f1"))
@@ -293,7 +392,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = fp.join(label, ["f1", "f2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.coalesce("_c", "doc_id").alias("component_id"),
-                      F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
+                      F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), "text_key")
 
 
 def _segments(sets: DataFrame, n_segments: int) -> DataFrame:
@@ -315,3 +414,23 @@ def _segments(sets: DataFrame, n_segments: int) -> DataFrame:
                 [pa.array(node[r]), pa.array(n[r]), pa.array(frag[first].astype(np.int32)),
                  pa.ListArray.from_arrays(pa.array(off), pa.array(vals))], names=["node", "n", "frag", "seg"])
     return sets.select("node", "n", "grams").mapInArrow(run, "node long, n long, frag int, seg array<long>")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` (all columns) with one document of each group of linked ones: the
+    one with the smallest id. Only ids and text hashes of leaving documents travel,
+    not texts. Rows that repeat id and text stay once; rows that repeat an id with
+    another text are documents of their own; a row without an id leaves if it links
+    with one that has an id."""
+    found = staged(ngram_jaccard_join(docs, id_col, text_col, **options))
+    gone = staged(found.where("doc_id <> component_id or (doc_id is null and component_id is not null)")
+                  .select(F.col("doc_id").alias("_gi"), F.col("text_key").alias("_gk")).distinct())
+    again = staged(found.groupBy("doc_id", "text_key").count().where("count > 1")
+                   .select(F.col("doc_id").alias("_ai"), F.col("text_key").alias("_ak")))
+    this, key = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
+    kept = docs.join(small(gone), this.eqNullSafe(F.col("_gi")) & (key == F.col("_gk")), "left_anti")
+    if again.isEmpty():
+        return kept
+    same = this.eqNullSafe(F.col("_ai")) & (key == F.col("_ak"))
+    return (kept.join(small(again), same, "left_anti")
+            .unionByName(kept.join(small(again), same, "left_semi").dropDuplicates([id_col, text_col])))
