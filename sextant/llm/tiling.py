@@ -141,13 +141,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     nothing. Repeated documents give a row each; repeated item ids are items of
     their own. Rows without an id stay (the id is NULL). Whole texts are used
     whatever their length; other columns are ignored."""
-    ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = staged(benchmark.select(F.col(item_col).cast("long").alias("item_id"),
-                                    F.col(item_text_col).cast("string").alias("text"))
-                   .withColumn("words", word_count("text")).where(F.col("words") >= min_match))
-    total = items.agg(F.sum("words")).first()[0] or 0
-    n_blocks = max(1, math.ceil(total / block_words))
 
     def scan(index):
         def run(batches):
@@ -164,15 +158,50 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
         return run
+    parts = [src.mapInArrow(scan(index), SCHEMA)
+             for index in _indexes(benchmark, item_col, item_text_col, min_match, block_words)]
+    out = reduce(DataFrame.unionByName, parts)
+    return out.withColumn("item_id", F.when(F.col("item_id") != _NO_ID, F.col("item_id")))
+
 
-    parts = []
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", min_match: int = 5, threshold: float = 0.5,
+                      block_words: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` (all columns) without a benchmark item in the sense of
+    ``contaminated``, found within the scan: no row is shuffled."""
+    at = docs.columns.index(text_col)
+
+    def scan(index):
+        def run(batches):
+            for batch in batches:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                for a, _, w in K.word_blocks(batch.column(at), 1 << 18):
+                    for d, *_ in index.tilings(w, threshold):
+                        keep[a + d] = False
+                yield batch.filter(pa.array(keep))
+        return run
+    for index in _indexes(benchmark, item_col, item_text_col, min_match, block_words):
+        docs = docs.mapInArrow(scan(index), docs.schema)
+    return docs
+
+
+_NO_ID = -(1 << 63)
+
+
+def _indexes(benchmark: DataFrame, item_col: str, item_text_col: str, min_match: int, block_words: int) -> list:
+    """Seed indexes over the blocks of the benchmark, one at least."""
+    ship(benchmark.sparkSession)
+    items = staged(benchmark.select(F.col(item_col).cast("long").alias("item_id"),
+                                    F.col(item_text_col).cast("string").alias("text"))
+                   .withColumn("words", word_count("text")).where(F.col("words") >= min_match))
+    total = items.agg(F.sum("words")).first()[0] or 0
+    n_blocks = max(1, math.ceil(total / block_words))
+    out = []
     for b in range(n_blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b)
-        index = SeedIndex([(-1 if r.item_id is None else r.item_id, r.text)
-                           for r in block.orderBy("item_id", "text").select("item_id", "text").collect()], min_match)
-        parts.append(src.mapInArrow(scan(index), SCHEMA))
-    return reduce(DataFrame.unionByName, parts).withColumn(
-        "item_id", F.when(F.col("item_id") >= 0, F.col("item_id")))
+        rows = block.orderBy("item_id", "text").select("item_id", "text").collect()
+        out.append(SeedIndex([(_NO_ID if r.item_id is None else r.item_id, r.text) for r in rows], min_match))
+    return out
 
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()),

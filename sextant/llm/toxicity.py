@@ -325,6 +325,44 @@ def _term_batch(have: dict) -> pa.RecordBatch:
          pa.array(list(have.values()), pa.int64())], names=["term", "stem", "n"])
 
 
+def _score_column(column, scan: Scanner, model: dict, speaks: float):
+    """Scores, numbers of hits and terms of the rows of a text column."""
+    n, unseen = len(column), model["rest"]
+    hits = np.zeros(n, dtype=np.int32)
+    by_doc: dict[int, dict[int, float]] = {}
+    for a, _, w in K.word_blocks(column, 1 << 18):
+        for d, term, edits, quoted in scan.block(w):
+            p = model["precision"].get((term, edits), unseen) * (model["quoted"] if quoted else 1.0)
+            hits[a + d] += 1
+            if p >= speaks:
+                own = by_doc.setdefault(a + d, {})
+                own[term] = max(own.get(term, 0.0), p)
+    score = np.full(n, unseen)
+    terms: list[list[str]] = [[] for _ in range(n)]
+    for d, own in by_doc.items():
+        clean = 1.0 - unseen
+        for t in sorted(own):
+            clean *= 1.0 - own[t]
+        score[d] = 1.0 - clean
+        terms[d] = [model["terms"][t][0] for t in sorted(own)]
+    return np.clip(score, 0.0, 1.0), hits, terms
+
+
+def keep_clean(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = 0.7,
+               speaks: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (all columns) that score under ``threshold``, found
+    within the scan: no row is shuffled. A NULL text stays."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        scan = Scanner(model["terms"])
+        for batch in batches:
+            score, _, _ = _score_column(batch.column(at), scan, model, speaks)
+            yield batch.filter(pa.array(score < threshold))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_documents(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
                     speaks: float = 0.5) -> DataFrame:
     """(doc_id, score, n_hits, terms) per input row. ``terms`` lists the distinct
@@ -335,28 +373,10 @@ def score_documents(docs: DataFrame, model: dict, id_col: str = "doc_id", text_c
 
     def run(batches):
         scan = Scanner(model["terms"])
-        unseen = model["rest"]
         for batch in batches:
-            n = batch.num_rows
-            hits = np.zeros(n, dtype=np.int32)
-            by_doc: dict[int, dict[int, float]] = {}
-            for a, _, w in K.word_blocks(batch.column(1), 1 << 18):
-                for d, term, edits, quoted in scan.block(w):
-                    p = model["precision"].get((term, edits), unseen) * (model["quoted"] if quoted else 1.0)
-                    hits[a + d] += 1
-                    if p >= speaks:
-                        own = by_doc.setdefault(a + d, {})
-                        own[term] = max(own.get(term, 0.0), p)
-            score = np.full(n, unseen)
-            terms: list[list[str]] = [[] for _ in range(n)]
-            for d, own in by_doc.items():
-                clean = 1.0 - unseen
-                for t in sorted(own):
-                    clean *= 1.0 - own[t]
-                score[d] = 1.0 - clean
-                terms[d] = [model["terms"][t][0] for t in sorted(own)]
+            score, hits, terms = _score_column(batch.column(1), scan, model, speaks)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.clip(score, 0.0, 1.0)), pa.array(hits), pa.array(terms, pa.list_(pa.string()))],
+                [batch.column(0), pa.array(score), pa.array(hits), pa.array(terms, pa.list_(pa.string()))],
                 names=["doc_id", "score", "n_hits", "terms"])
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, "doc_id long, score double, n_hits int, terms array<string>")
