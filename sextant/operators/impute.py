@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import zero_under_flag
-from ..session import cut_lineage
-from .stats import (attach_global, fill_from_table, global_mode, lookup, mode_table, one_row,
-                    percentile_table)
+from .stats import attach_global, fill_from_table, mode_table, percentile_table
 
 
 def impute_group_mode(df: DataFrame, key: str, col: str) -> DataFrame:
@@ -20,77 +18,75 @@ def impute_group_mode(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def impute_category_cascade(df: DataFrame, steps: Sequence[tuple[str, str]],
-                            finals: dict[str, object] | None = None,
-                            checkpoint: bool = True) -> DataFrame:
+                            finals: dict[str, object] | None = None) -> DataFrame:
     """Fill categories from related categories, in order.
 
     ``steps``: (source, target) pairs; target missing -> mode of target among rows
     with the same source value (computed on the current, partly filled frame).
     ``finals``: column -> ``"mode"`` (global mode) or a constant, applied last.
 
-    Each step's statistic is computed from the previous step's output, so the
-    plan of step k contains step k-1 twice (once under the aggregate, once
-    under the join); without a cut the plan doubles per step. With
-    ``checkpoint`` every step's output is written to the session's reliable
-    checkpoint folder (it survives executor loss) and the next step reads it.
-    """
+    Every step reads and writes only the columns named in ``steps`` and ``finals``,
+    and rows that agree in them are filled alike. So the cascade runs on their
+    distinct combinations with counts (one partial aggregate), and one null-safe
+    join gives each row the filled combination: the table itself is read twice,
+    whatever the number of steps, and nothing is written between steps."""
+    finals = finals or {}
+    cols = list(dict.fromkeys([c for pair in steps for c in pair] + list(finals)))
+    combos = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w"))
+    t = combos.select("_w", *[F.col(c).alias(f"_o_{c}") for c in cols], *cols)
     for src, tgt in steps:
-        df = fill_from_table(df, tgt, mode_table(df, src, tgt, "_fill"), src, "_fill")
-        if checkpoint:
-            df = cut_lineage(df)
-    for col, how in (finals or {}).items():
+        t = fill_from_table(t, tgt, _weighted_mode(t, [src], tgt), src, "_fill")
+    for col, how in finals.items():
         if how == "mode":
-            g = global_mode(df, col, "_gfill")
-            df = attach_global(df, g).withColumn(col, F.coalesce(F.col(col), F.col("_gfill"))).drop("_gfill")
+            g = _weighted_mode(t, [], col)
+            t = attach_global(t, g).withColumn(col, F.coalesce(F.col(col), F.col("_fill"))).drop("_fill")
         else:
-            df = df.withColumn(col, F.coalesce(F.col(col), F.lit(how)))
-    return df
+            t = t.withColumn(col, F.coalesce(F.col(col), F.lit(how)))
+    t = t.select(*[F.col(f"_o_{c}") for c in cols], *[F.col(c).alias(f"_f_{c}") for c in cols])
+    out = df.join(t, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in cols], "left")
+    return out.select(*[F.col(f"_f_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def impute_median_cascade(df: DataFrame, col: str, group_keys: Sequence[str],
-                          method: str = "auto") -> DataFrame:
+def _weighted_mode(t: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """Mode of ``col`` per key over rows with weight ``_w`` (ties -> smallest)."""
+    counts = t.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.sum("_w").alias("_n"))
+    best = F.min_by(F.col(col), F.struct((-F.col("_n")).alias("n"), F.col(col).alias("v"))).alias("_fill")
+    return counts.groupBy(*keys).agg(best) if keys else counts.agg(best)
+
+
+def impute_median_cascade(df: DataFrame, col: str, group_keys: Sequence[str]) -> DataFrame:
     """``col`` missing -> median in the first key's group -> in the next key's
-    group ... -> global median. All medians come from the unfilled column
-    (``method``: see :func:`stats.percentile_table`).
-
-    All medians come from one percentile pass: each row is stacked once per
-    key set as (key set, key value), plus once for the global set, and the
-    percentile table is keyed by that pair."""
-    n = len(group_keys)
-    sets = [F.struct(F.lit(i).alias("_ks"), F.col(k).cast("string").alias("_kv"))
-            for i, k in enumerate(group_keys)]
-    sets.append(F.struct(F.lit(n).alias("_ks"), F.lit(None).cast("string").alias("_kv")))
-    stacked = df.select(F.col(col), F.explode(F.array(*sets)).alias("_k")).select("_k._ks", "_k._kv", col)
-    meds = percentile_table(stacked, ["_ks", "_kv"], col, [0.5], {(col, 0.5): "_med"}, method)
-    out = df
+    group ... -> global median. All medians come from the unfilled column. A row
+    whose key is NULL has no group.
+
+    Only groups that hold a missing value need a median, so each key's percentile
+    pass reads the rows of those groups; the global median has a pass of its own."""
+    meds = []
     for i, k in enumerate(group_keys):
-        t = meds.where(F.col("_ks") == i).select(F.col("_kv").alias(f"_kv{i}"), F.col("_med").alias(f"_med{i}"))
-        out = out.join(t, F.col(k).cast("string") == F.col(f"_kv{i}"), "left").drop(f"_kv{i}")
-    out = attach_global(out, one_row(meds.where(F.col("_ks") == n).select(F.col("_med").alias("_medg"))))
-    out = out.withColumn(col, F.coalesce(F.col(col), *[F.col(f"_med{i}") for i in range(n)], F.col("_medg")))
-    return out.drop(*[f"_med{i}" for i in range(n)], "_medg")
+        need = df.where(F.col(col).isNull() & F.col(k).isNotNull()).select(F.col(k).alias(f"_k{i}")).distinct()
+        rows = df.select(k, col).where(F.col(col).isNotNull()).join(need, F.col(k) == F.col(f"_k{i}"), "left_semi")
+        t = percentile_table(rows, k, col, [0.5], {(col, 0.5): f"_med{i}"})
+        meds.append(t.withColumnRenamed(k, f"_k{i}"))
+    glob = percentile_table(df, [], col, [0.5], {(col, 0.5): "_medg"})
+    out = df
+    for i, (k, t) in enumerate(zip(group_keys, meds)):
+        out = out.join(t, F.col(k) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+    out = attach_global(out, glob)
+    out = out.withColumn(col, F.coalesce(F.col(col), *[F.col(f"_med{i}") for i in range(len(meds))], F.col("_medg")))
+    return out.drop(*[f"_med{i}" for i in range(len(meds))], "_medg")
 
 
-def impute_amounts(df: DataFrame, amounts: Sequence[str], flag: str, category: str,
-                   method: str = "auto") -> DataFrame:
+def impute_amounts(df: DataFrame, amounts: Sequence[str], flag: str, category: str) -> DataFrame:
     """Amounts: zero where ``flag``; missing -> median in ``category`` (zeros
-    included) -> global median; zero where ``flag`` again. All columns' medians
-    in one pass: each row counts once under its category (key set 0) and once
-    under the global set (key set 1), as in ``impute_median_cascade``, so the
-    input is read and measured once for both levels."""
+    included) -> global median; zero where ``flag`` again. A row whose category is
+    NULL goes straight to the global median."""
     out = df
     for c in amounts:
         out = out.withColumn(c, zero_under_flag(c, flag))
-    sets = F.array(F.struct(F.lit(0).alias("_ks"), F.col(category).cast("string").alias("_kv")),
-                   F.struct(F.lit(1).alias("_ks"), F.lit(None).cast("string").alias("_kv")))
-    stacked = out.select(*amounts, F.explode(sets).alias("_k")).select("_k._ks", "_k._kv", *amounts)
-    meds = percentile_table(stacked, ["_ks", "_kv"], amounts, [0.5], {(c, 0.5): f"_m_{c}" for c in amounts},
-                            method)
-    cat_t = meds.where(F.col("_ks") == 0).select(F.col("_kv").alias("_cat"),
-                                                  *[F.col(f"_m_{c}").alias(f"_cm_{c}") for c in amounts])
-    glob = one_row(meds.where(F.col("_ks") == 1).select(*[F.col(f"_m_{c}").alias(f"_gm_{c}") for c in amounts]))
-    out = out.join(cat_t, F.col(category).cast("string") == F.col("_cat"), "left").drop("_cat")
-    out = attach_global(out, glob)
+    by_cat = percentile_table(out.where(F.col(category).isNotNull()), category, amounts, [0.5],
+                              {(c, 0.5): f"_cm_{c}" for c in amounts}).withColumnRenamed(category, "_cat")
+    glob = percentile_table(out, [], amounts, [0.5], {(c, 0.5): f"_gm_{c}" for c in amounts})
+    out = attach_global(out.join(by_cat, F.col(category) == F.col("_cat"), "left").drop("_cat"), glob)
     for c in amounts:
         out = out.withColumn(c, zero_under_flag(F.coalesce(F.col(c), F.col(f"_cm_{c}"), F.col(f"_gm_{c}")), flag))
     return out.drop(*[f"_cm_{c}" for c in amounts], *[f"_gm_{c}" for c in amounts])

@@ -30,7 +30,7 @@ def null_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.where(F.col("null_rate") > 0).orderBy(F.desc("null_rate"), F.asc("column"))
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max per column (long).
     Moments in one aggregate; all quartiles of all columns in one percentile
     table (one-row results, joined by a broadcast cross join)."""
@@ -40,7 +40,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], method: str = "auto") -
                  F.min(F.col(c).cast("double")).alias(f"_lo{i}"), F.max(F.col(c).cast("double")).alias(f"_hi{i}")]
     qs = [0.25, 0.5, 0.75]
     names = {(c, q): f"_q{i}_{j}" for i, c in enumerate(cols) for j, q in enumerate(qs)}
-    one = attach_global(df.agg(*aggs), percentile_table(df, [], list(cols), qs, names, method))
+    one = attach_global(df.agg(*aggs), percentile_table(df, [], list(cols), qs, names))
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("count"), F.col(f"_m{i}").alias("mean"),
                      F.col(f"_s{i}").alias("std"), F.col(f"_lo{i}").alias("min"),
                      F.col(f"_q{i}_0").alias("q25"), F.col(f"_q{i}_1").alias("q50"),
@@ -99,11 +99,11 @@ def top_n(df: DataFrame, order, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def boxplot_stats(df: DataFrame, col: str, group: Sequence[str] = (), method: str = "auto") -> DataFrame:
+def boxplot_stats(df: DataFrame, col: str, group: Sequence[str] = ()) -> DataFrame:
     """q1, median, q3 and whiskers (extreme values inside 1.5 IQR)."""
     group = list(group)
     qs = percentile_table(df, group, col, [0.25, 0.5, 0.75],
-                          {(col, 0.25): "q1", (col, 0.5): "median", (col, 0.75): "q3"}, method)
+                          {(col, 0.25): "q1", (col, 0.5): "median", (col, 0.75): "q3"})
     # per-group quantile table: its size is the number of groups, so the join
     # strategy is left to AQE; the global case is one row and is broadcast
     x = df.join(qs, group) if group else attach_global(df, qs)
@@ -117,9 +117,9 @@ def boxplot_stats(df: DataFrame, col: str, group: Sequence[str] = (), method: st
     return x.groupBy(*group).agg(*aggs) if group else x.agg(*aggs)
 
 
-def winsorize(df: DataFrame, cols: Sequence[str], q: float = 0.99, method: str = "auto") -> DataFrame:
+def winsorize(df: DataFrame, cols: Sequence[str], q: float = 0.99) -> DataFrame:
     """Clip each column at its own q-quantile (one percentile table for all columns)."""
-    qs = percentile_table(df, [], list(cols), [q], {(c, q): f"_q_{c}" for c in cols}, method)
+    qs = percentile_table(df, [], list(cols), [q], {(c, q): f"_q_{c}" for c in cols})
     out = attach_global(df, qs)
     for c in cols:
         out = out.withColumn(c, F.least(F.col(c), F.col(f"_q_{c}")))
@@ -127,9 +127,9 @@ def winsorize(df: DataFrame, cols: Sequence[str], q: float = 0.99, method: str =
 
 
 def trim_by_class_quantile(df: DataFrame, col: str, cls: str, q: float = 0.98,
-                           method: str = "auto") -> DataFrame:
+                           ) -> DataFrame:
     """Keep rows with x strictly below the q-quantile of their own class."""
-    qs = percentile_table(df, cls, col, [q], {(col, q): "_q"}, method)
+    qs = percentile_table(df, cls, col, [q], {(col, q): "_q"})
     return df.join(qs, cls).where(F.col(col) < F.col("_q")).drop("_q")
 
 

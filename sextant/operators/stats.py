@@ -17,8 +17,9 @@ Global (one-row) statistics are broadcast explicitly: their size is one row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,73 +51,38 @@ def global_mode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
                                                      F.col(col).alias("v"))).alias(out))
 
 
-def percentile_expr(col: str, p, exact: bool = True, accuracy: int = 10000) -> Column:
-    """Linear-interpolated percentile (``p`` scalar or list).
-
-    ``exact`` keeps a value -> count map per key (state bounded by the number of
-    distinct values, e.g. ages or cabin numbers); ``exact=False`` uses the
-    mergeable quantile sketch of ``percentile_approx`` (bounded state for
-    continuous, high-cardinality columns)."""
-    if exact:
-        return F.percentile(F.col(col), p)
-    return F.percentile_approx(F.col(col), p, accuracy)
-
-
-def percentile_table(df: DataFrame, keys, cols, ps, names=None, method: str = "auto",
-                     n_chunks: int | None = None, accuracy: int = 10000,
-                     max_distinct: int = 1_000_000) -> DataFrame:
-    """Linear-interpolated percentiles of one or more columns per key (no key:
-    one row). Columns are named ``names[(col, p)]`` (default ``{col}_q{j}``).
-
-    ``method``:
-      * ``"auto"`` (default): counts per distinct value are computed once
-        (partial aggregate); if the widest group has at most ``max_distinct``
-        distinct values (measured, so the bound is proven), the exact
-        percentile is taken over those weighted counts (state per task <=
-        max_distinct entries); otherwise the ``"distributed"`` path runs.
-      * ``"distributed"``: exact, with bounded state per task.
-        Counts per distinct value (partial aggregate); the value range of each
-        (key, column) is cut into ``n_chunks`` chunks at approximate quantiles
-        of the distinct values (a mergeable sketch); chunk offsets are a
-        running sum over <= n_chunks rows, ranks inside a chunk a running sum
-        over that chunk's distinct values. The values at ranks floor/ceil of
-        p (n - 1) are picked with a conditional aggregate and interpolated the
-        way ``percentile`` does, so the result equals it. No task ever holds
-        all values of a key, however hot the key or continuous the column.
-      * ``"exact"``: Spark's ``percentile`` aggregate (one value -> count map
-        per key, merged in one task; fine when distinct values are few).
-      * ``"approx"``: ``percentile_approx`` (a data value, not interpolated).
-    """
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` in which NULL equals NULL; the keys appear once."""
+    tagged = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    if not keys:
+        return left.crossJoin(F.broadcast(tagged))      # no key: one row
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(tagged, on).drop(*[f"_r_{k}" for k in keys])
+
+
+def percentile_table(df: DataFrame, keys, cols, ps, names=None, n_chunks: int = 64) -> DataFrame:
+    """Exact linear-interpolated percentiles of one or more columns per key (no
+    key: one row); equal to Spark's ``percentile``. Columns are named
+    ``names[(col, p)]`` (default ``{col}_q{j}``). NULL keys are a group.
+
+    One path for every size, with bounded state per task and no job at plan time:
+    counts per distinct value (partial aggregate); the values of each (key, column)
+    are cut into ``n_chunks`` chunks at approximate quantiles (a mergeable sketch,
+    which only decides how even the chunks are); the exact counts of the chunks
+    tell which of them hold the wanted ranks, and only the values in those are
+    ranked: about 1 / n_chunks of a group's distinct values per rank. However hot
+    a key, its other values are only counted."""
     keys = _keys(keys)
     cols = [cols] if isinstance(cols, str) else list(cols)
     ps = [ps] if isinstance(ps, (int, float)) else list(ps)
     names = names or {}
     name = lambda c, j: names.get((c, ps[j]), f"{c}_q{j}")
-    if method in ("exact", "approx"):
-        aggs = [percentile_expr(c, ps, method == "exact", accuracy).alias(f"_arr{i}") for i, c in enumerate(cols)]
-        t = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-        return t.select(*keys, *[F.col(f"_arr{i}")[j].alias(name(c, j))
-                                 for i, c in enumerate(cols) for j in range(len(ps))])
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)])).alias("_s"))
     stacked = stacked.select(*keys, "_s._ci", "_s._v").where(F.col("_v").isNotNull())
     gk = keys + ["_ci"]
     vc = stacked.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    widest = None
-    if method == "auto":
-        vc = vc.persist()
-        widest = vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
-        method = "weighted" if widest <= max_distinct else "distributed"
-    if method == "distributed" and n_chunks is None:
-        # about max_distinct distinct values per chunk, 256 to 4096 chunks
-        widest = widest if widest is not None else (vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0)
-        n_chunks = int(min(4096, max(256, -(-widest // max_distinct))))
-        accuracy = max(accuracy, 10 * n_chunks)
-    if method == "weighted":
-        t = vc.groupBy(*gk).agg(F.percentile("_v", ps, F.col("_c")).alias("_arr"))
-        t = t.select(*gk, *[F.col("_arr")[j].alias(f"_p{j}") for j in range(len(ps))])
-    else:
-        t = _chunked_percentiles(vc, gk, ps, n_chunks, accuracy)
+    t = _ranked_percentiles(vc, gk, ps, n_chunks)
     if len(cols) == 1:      # one column: no pivot (and no extra shuffle) needed
         out = t.select(*keys, *[F.col(f"_p{j}").alias(name(cols[0], j)) for j in range(len(ps))])
     else:
@@ -132,33 +98,32 @@ def percentile_table(df: DataFrame, keys, cols, ps, names=None, method: str = "a
     return out
 
 
-def _chunked_percentiles(vc: DataFrame, gk: list, ps, n_chunks: int, accuracy: int) -> DataFrame:
-    """Exact percentiles from (group, value, count) rows without holding a
-    group's values in one task (see :func:`percentile_table`)."""
-    from pyspark.sql import Window
-
+def _ranked_percentiles(vc: DataFrame, gk: list, ps, n_chunks: int) -> DataFrame:
+    """Percentiles from (group, value, count) rows (see :func:`percentile_table`)."""
     grid = [k / n_chunks for k in range(1, n_chunks)]
-    bnd = vc.groupBy(*gk).agg(F.array_distinct(F.percentile_approx("_v", grid, accuracy)).alias("_b"))
-    x = vc.join(bnd, gk).withColumn("_chunk", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
+    bnd = vc.groupBy(*gk).agg(F.array_distinct(F.percentile_approx("_v", grid, 10 * n_chunks)).alias("_b"))
+    x = _same_keys(vc, bnd, gk).withColumn("_chunk", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
     ch = x.groupBy(*gk, "_chunk").agg(F.sum("_c").alias("_cc"))
-    ch = ch.select(*gk, "_chunk",
+    ch = ch.select(*gk, "_chunk", "_cc",        # at most n_chunks rows per group
                    (F.sum("_cc").over(Window.partitionBy(*gk).orderBy("_chunk")) - F.col("_cc")).alias("_off"),
                    F.sum("_cc").over(Window.partitionBy(*gk)).alias("_n"))
-    x = x.join(ch, gk + ["_chunk"])
+    ranks = []
+    for p in ps:
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        ranks += [F.floor(pos), F.ceil(pos)]
+    holds = [(F.col("_off") <= r) & (r < F.col("_off") + F.col("_cc")) for r in ranks]
+    wanted = ch.where(reduce(lambda a, b: a | b, holds)).drop("_cc")
+    x = _same_keys(x, wanted, gk + ["_chunk"])
     x = x.withColumn("_before", F.col("_off") + F.sum("_c").over(
         Window.partitionBy(*gk, "_chunk").orderBy("_v")) - F.col("_c"))
-    aggs = [F.first("_n").alias("_n")]
-    for j, p in enumerate(ps):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        for tag, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            holds = (F.col("_before") <= r) & (r < F.col("_before") + F.col("_c"))
-            aggs.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{tag}{j}"))
-    t = x.groupBy(*gk).agg(*aggs)
+    here = [(F.col("_before") <= r) & (r < F.col("_before") + F.col("_c")) for r in ranks]
+    t = x.groupBy(*gk).agg(F.first("_n").alias("_n"),
+                           *[F.max(F.when(h, F.col("_v"))).alias(f"_r{i}") for i, h in enumerate(here)])
     outs = []
     for j, p in enumerate(ps):
         pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
-        vlo, vhi = F.col(f"_lo{j}"), F.col(f"_hi{j}")
+        vlo, vhi = F.col(f"_r{2 * j}"), F.col(f"_r{2 * j + 1}")
         val = (F.when((lo == hi) | (vlo == vhi), vlo)
                 .otherwise((hi.cast("double") - pos) * vlo + (pos - lo.cast("double")) * vhi))
         outs.append(val.alias(f"_p{j}"))
@@ -238,11 +203,6 @@ def global_label_mean(df: DataFrame, label: str, out: str = "prior") -> DataFram
     return df.agg(F.avg(label).alias(out))
 
 
-def unpivot_columns(df: DataFrame, cols: Sequence[str], name: str = "column",
-                    value: str = "value", ids: Sequence[str] = ()) -> DataFrame:
-    return df.unpivot(list(ids), list(cols), name, value)
-
-
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """Names of the numeric columns, from the schema (no data is read)."""
     from pyspark.sql.types import NumericType

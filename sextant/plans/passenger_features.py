@@ -95,7 +95,7 @@ def prepare_features(train: DataFrame, test: DataFrame, n_folds: int = 5, seed:
                                                    "Surname"]))
     full = impute.impute_category_cascade(
         full, [("CabinDeck", "HomePlanet"), ("HomePlanet", "Destination"), ("HomePlanet", "CabinDeck")],
-        {"HomePlanet": "mode", "Destination": "mode", "CabinDeck": "U", "CabinSide": "mode"}, checkpoint)
+        {"HomePlanet": "mode", "Destination": "mode", "CabinDeck": "U", "CabinSide": "mode"})
     full = impute.impute_median_cascade(full, "CabinNum", ["GroupId"])
     full = impute.impute_median_cascade(full, "Age", ["GroupId", "HomePlanet"])
     full = impute.impute_bool_default(full, "VIP")
