@@ -164,17 +164,26 @@ def _tally(packed: DataFrame, n_frag: int) -> DataFrame:
         if key[0].as_py() < 0:
             return bucketed(np.concatenate([np.frombuffer(t, dtype=np.uint64) for t in cols[2]]),
                             np.concatenate([np.frombuffer(c, dtype="<u4").astype(np.uint64) for c in cols[1]]))
-        grams, members, owners, flags = [], [], [], []
+        grams, members, owners, flags, mixed = [], [], [], [], any(cols[3])
         for gb, mb, tb, ob in zip(*cols):
             tab, at = np.frombuffer(tb, dtype=np.uint64), _unplanes(mb, 3).astype(np.int64)
-            own = np.frombuffer(ob, dtype=np.uint64) if ob else tab
             grams.append(np.cumsum(_unplanes(gb, 5), dtype=np.uint64))
             members.append(np.r_[tab, _U(0)][at])
-            owners.append(np.r_[own, _U(0)][at])
+            if ob:
+                owners.append(np.r_[np.frombuffer(ob, dtype=np.uint64), _U(0)][at])
+            elif mixed:
+                owners.append(members[-1])
             flags.append(at == len(tab))          # the last entry stands for "several owners"
-        g, m, o, multi = (np.concatenate(x) for x in (grams, members, owners, flags))
-        order = np.argsort(g, kind="stable")
-        g, m, o, multi = g[order], m[order], o[order], multi[order]
+        del cols
+        g, multi = np.concatenate(grams), np.concatenate(flags)
+        m = np.concatenate(members)
+        o = np.concatenate(owners) if owners else m
+        del grams, members, owners, flags
+        order = np.argsort(g)
+        same = o is m
+        g, multi, m = g[order], multi[order], m[order]
+        o = m if same else o[order]
+        del order
         first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
         size = np.diff(np.r_[first, len(g)])
         lo = np.minimum.reduceat(np.where(multi, _U(0xFFFFFFFFFFFFFFFF), o), first)
@@ -348,7 +357,7 @@ def _rest_candidates(sets: DataFrame, comp: DataFrame, percent: int, fragment_gr
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                        percent: int = 80, n_keys: int = 6, n_segments: int = 4,
-                       fragment_grams: int = 4_000_000) -> DataFrame:
+                       fragment_grams: int = 2_000_000) -> DataFrame:
     """Groups of documents connected by n-gram Jaccard links.
 
     Returns one row per input row: (``doc_id``, ``n_shingles``, ``component_id``,
