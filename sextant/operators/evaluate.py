@@ -10,10 +10,13 @@ every cut is then a cumulative sum over at most 122 buckets per candidate.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stats import same_keys
+
 # The cut grid is 121 evenly spaced cuts from 0.35 to 0.65.
 CUT_LO_BP, CUT_STEP_BP, N_CUTS = 3500, 25, 121   # in 1/10000 units
 
@@ -27,7 +30,8 @@ def cut_value(i) -> Column:
 def cuts_below(p) -> Column:
     """Exact number of cuts t_i with t_i <= p (0 .. 121): an arithmetic guess
     corrected by comparing with the exact cut values on both sides."""
-    p = F.col(p) if isinstance(p, str) else p
+    p = F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit(float("-inf")))
+    p = F.greatest(p, F.lit(-1.0))          # missing scores lie below every cut
     guess = F.floor((p * 10000.0 - CUT_LO_BP) / CUT_STEP_BP).cast("int") + 1
     b = F.least(F.greatest(guess, F.lit(0)), F.lit(N_CUTS))
     b = F.when((b < N_CUTS) & (cut_value(b) <= p), b + 1).otherwise(b)
@@ -36,8 +40,11 @@ def cuts_below(p) -> Column:
 
 
 def accuracy_at(prob, label, threshold: float = 0.5) -> Column:
+    """Share of rows whose prediction ``p >= threshold`` is the label; a missing score
+    is not above any cut."""
     p = F.col(prob) if isinstance(prob, str) else prob
-    return F.avg(((p >= threshold).cast("int") == F.col(label)).cast("int").cast("double"))
+    above = F.coalesce(p >= threshold, F.lit(False))
+    return F.avg((above.cast("int") == F.col(label)).cast("int").cast("double"))
 
 
 def threshold_sweep(df: DataFrame, prob: str, label: str,
@@ -138,31 +145,46 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, prob: str, label: str, group: Sequence[str] = (),
-            n_chunks: int = 4096) -> DataFrame:
-    """Exact ROC AUC (ties count one half) per group.
+            n_chunks: int = 128) -> DataFrame:
+    """Exact ROC AUC (ties count one half) per group, with n_pos, n_neg and
+    n_missing: rows without a score or label, which take no part.
 
     AUC = sum over scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P N).
     Rows -> counts per distinct score (partial aggregate); the running count of
-    negatives below each score is a two-level prefix sum: per value chunk
-    (probability range split into ``n_chunks``) totals and offsets, then a
-    window inside each chunk. No step orders all scores in one task."""
+    negatives below each score is a two-level prefix sum: totals and offsets of
+    ``n_chunks`` chunks at approximate quantiles of the distinct scores (so scores in
+    a narrow range spread like any others), then a window inside each chunk. No step
+    orders all scores in one task."""
     group = list(group)
-    p = F.col(prob)
-    per = df.groupBy(*group, p.alias("_s")).agg(
+    usable = F.col(prob).isNotNull() & F.col(label).isNotNull()
+    tally = F.sum(F.when(usable, 0).otherwise(1)).cast("bigint").alias("n_missing")
+    missing = df.groupBy(*group).agg(tally) if group else df.agg(tally)
+    per = df.where(usable).groupBy(*group, F.col(prob).alias("_s")).agg(
         F.sum(F.col(label)).alias("_pos"), F.sum(1 - F.col(label)).alias("_neg"))
-    per = per.withColumn("_chunk", F.least(F.greatest(F.floor(F.col("_s") * n_chunks), F.lit(0)),
-                                           F.lit(n_chunks - 1)).cast("int"))
+    grid = [k / n_chunks for k in range(1, n_chunks)]
+    cuts = F.array_distinct(F.percentile_approx("_s", grid, 10 * n_chunks)).alias("_b")
+    bounds = per.groupBy(*group).agg(cuts) if group else per.agg(cuts)
+    per = same_keys(per, bounds, group).withColumn(
+        "_chunk", F.size(F.filter("_b", lambda b: b < F.col("_s")))).drop("_b")
     ch = per.groupBy(*group, "_chunk").agg(F.sum("_neg").alias("_cn"))
     wch = Window.partitionBy(*group).orderBy("_chunk") if group else Window.partitionBy(F.lit(0)).orderBy("_chunk")
     ch = ch.select(*group, "_chunk", (F.sum("_cn").over(wch) - F.col("_cn")).alias("_off"))
     win = Window.partitionBy(*group, "_chunk").orderBy("_s")
-    per = per.join(ch, group + ["_chunk"])
+    per = same_keys(per, ch, group + ["_chunk"])
     per = per.withColumn("_below", F.col("_off") + F.sum("_neg").over(win) - F.col("_neg"))
     contrib = F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)
     # one class only: AUC is undefined -> NULL (try_divide: no error under ANSI mode)
     aggs = [F.try_divide(F.sum(contrib), F.sum("_pos") * F.sum("_neg")).alias("auc"),
-            F.sum("_pos").cast("bigint").alias("n_pos"), F.sum("_neg").cast("bigint").alias("n_neg")]
-    return per.groupBy(*group).agg(*aggs) if group else per.agg(*aggs)
+            F.coalesce(F.sum("_pos"), F.lit(0)).cast("bigint").alias("n_pos"),
+            F.coalesce(F.sum("_neg"), F.lit(0)).cast("bigint").alias("n_neg")]
+    if not group:
+        return per.agg(*aggs).crossJoin(F.broadcast(missing))       # one row each
+    got = per.groupBy(*group).agg(*aggs)
+    tagged = got.select(*[F.col(g).alias(f"_g_{g}") for g in group], "auc", "n_pos", "n_neg")
+    on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group])
+    return missing.join(tagged, on, "left").select(
+        *group, "auc", F.coalesce("n_pos", F.lit(0)).cast("bigint").alias("n_pos"),
+        F.coalesce("n_neg", F.lit(0)).cast("bigint").alias("n_neg"), "n_missing")
 
 
 def reliability_curve(df: DataFrame, prob: str, label: str, n_bins: int = 15) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import zero_under_flag
+from ..session import cut_lineage
 from .stats import attach_global, fill_from_table, mode_table, percentile_table
 
 
@@ -28,20 +29,26 @@ def impute_category_cascade(df: DataFrame, steps: Sequence[tuple[str, str]],
     Every step reads and writes only the columns named in ``steps`` and ``finals``,
     and rows that agree in them are filled alike. So the cascade runs on their
     distinct combinations with counts (one partial aggregate), and one null-safe
-    join gives each row the filled combination: the table itself is read twice,
-    whatever the number of steps, and nothing is written between steps."""
+    join gives each row the filled combination: the table itself is read twice.
+    Only the combinations are written, between steps, to keep the plan small."""
     finals = finals or {}
     cols = list(dict.fromkeys([c for pair in steps for c in pair] + list(finals)))
     combos = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w"))
     t = combos.select("_w", *[F.col(c).alias(f"_o_{c}") for c in cols], *cols)
-    for src, tgt in steps:
+    for i, (src, tgt) in enumerate(steps):
+        if i and i % 2 == 0:
+            t = cut_lineage(t)      # the plan of a step holds the previous one twice
         t = fill_from_table(t, tgt, _weighted_mode(t, [src], tgt), src, "_fill")
-    for col, how in finals.items():
-        if how == "mode":
-            g = _weighted_mode(t, [], col)
-            t = attach_global(t, g).withColumn(col, F.coalesce(F.col(col), F.col("_fill"))).drop("_fill")
-        else:
-            t = t.withColumn(col, F.coalesce(F.col(col), F.lit(how)))
+    by_mode = [c for c, how in finals.items() if how == "mode"]
+    if by_mode and len(steps) > 1:
+        t = cut_lineage(t)
+    # each final mode is that of its own column after the steps
+    modes = [_weighted_mode(t, [], c).withColumnRenamed("_fill", f"_m_{c}") for c in by_mode]
+    for c, m in zip(by_mode, modes):
+        t = attach_global(t, m).withColumn(c, F.coalesce(F.col(c), F.col(f"_m_{c}"))).drop(f"_m_{c}")
+    for c, how in finals.items():
+        if how != "mode":
+            t = t.withColumn(c, F.coalesce(F.col(c), F.lit(how)))
     t = t.select(*[F.col(f"_o_{c}") for c in cols], *[F.col(c).alias(f"_f_{c}") for c in cols])
     out = df.join(t, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in cols], "left")
     return out.select(*[F.col(f"_f_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -51,7 +51,7 @@ def global_mode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
                                                      F.col(col).alias("v"))).alias(out))
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on ``keys`` in which NULL equals NULL; the keys appear once."""
     tagged = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
     if not keys:
@@ -102,7 +102,7 @@ def _ranked_percentiles(vc: DataFrame, gk: list, ps, n_chunks: int) -> DataFrame
     """Percentiles from (group, value, count) rows (see :func:`percentile_table`)."""
     grid = [k / n_chunks for k in range(1, n_chunks)]
     bnd = vc.groupBy(*gk).agg(F.array_distinct(F.percentile_approx("_v", grid, 10 * n_chunks)).alias("_b"))
-    x = _same_keys(vc, bnd, gk).withColumn("_chunk", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
+    x = same_keys(vc, bnd, gk).withColumn("_chunk", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
     ch = x.groupBy(*gk, "_chunk").agg(F.sum("_c").alias("_cc"))
     ch = ch.select(*gk, "_chunk", "_cc",        # at most n_chunks rows per group
                    (F.sum("_cc").over(Window.partitionBy(*gk).orderBy("_chunk")) - F.col("_cc")).alias("_off"),
@@ -113,7 +113,7 @@ def _ranked_percentiles(vc: DataFrame, gk: list, ps, n_chunks: int) -> DataFrame
         ranks += [F.floor(pos), F.ceil(pos)]
     holds = [(F.col("_off") <= r) & (r < F.col("_off") + F.col("_cc")) for r in ranks]
     wanted = ch.where(reduce(lambda a, b: a | b, holds)).drop("_cc")
-    x = _same_keys(x, wanted, gk + ["_chunk"])
+    x = same_keys(x, wanted, gk + ["_chunk"])
     x = x.withColumn("_before", F.col("_off") + F.sum("_c").over(
         Window.partitionBy(*gk, "_chunk").orderBy("_v")) - F.col("_c"))
     here = [(F.col("_before") <= r) & (r < F.col("_before") + F.col("_c")) for r in ranks]

@@ -145,7 +145,7 @@ def adversarial_auc(spark, sf):
 def mixup_augment(spark, sf):
     tr, _ = _split(spark, sf)
     return augment.mixup_augment(tr.select("id", "y", *FEATURES), "id", FEATURES, "y", alpha=0.4,
-                                 multiplier=1, noise_std=0.01, seed=42)      # buckets from row count
+                                 multiplier=1, noise_std=0.01, seed=42)
 
 
 @query("text_svd")

@@ -93,10 +93,10 @@ def prepare_features(train: DataFrame, test: DataFrame, n_folds: int = 5, seed:
     full = full.withColumn("CryoSleep", infer_flag_from_amounts("CryoSleep", SPEND_COLS))
     full = cut(_fill_group_modes(full, "GroupId", ["HomePlanet", "Destination", "CabinDeck", "CabinSide",
                                                    "Surname"]))
-    full = impute.impute_category_cascade(
+    full = cut(impute.impute_category_cascade(
         full, [("CabinDeck", "HomePlanet"), ("HomePlanet", "Destination"), ("HomePlanet", "CabinDeck")],
-        {"HomePlanet": "mode", "Destination": "mode", "CabinDeck": "U", "CabinSide": "mode"})
-    full = impute.impute_median_cascade(full, "CabinNum", ["GroupId"])
+        {"HomePlanet": "mode", "Destination": "mode", "CabinDeck": "U", "CabinSide": "mode"}))
+    full = cut(impute.impute_median_cascade(full, "CabinNum", ["GroupId"]))
     full = impute.impute_median_cascade(full, "Age", ["GroupId", "HomePlanet"])
     full = impute.impute_bool_default(full, "VIP")
     full = cut(impute.impute_amounts(full, SPEND_COLS, "CryoSleep", "HomePlanet"))
@@ -126,6 +126,7 @@ def prepare_features(train: DataFrame, test: DataFrame, n_folds: int = 5, seed:
         F.array_distinct(F.array(*[F.col(f"CabinNum_q{j}") for j in range(7)])).alias("_e"))
     full = attach_global(full, edges).withColumn(
         "CabinZone", F.concat(F.lit("zone_"), rank_in_edges("CabinNum", F.col("_e")).cast("string"))).drop("_e")
+    full = cut(full)
     full = (full.withColumn("HomeDest", category_cross("HomePlanet", "Destination"))
                 .withColumn("DeckSide", category_cross("CabinDeck", "CabinSide"))
                 .withColumn("CryoSleep", bool_text("CryoSleep"))

@@ -6,8 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.hashing import uniform
 from ..operators import augment, evaluate, folds, groups, stats
-from .base import MODELS, S_CTE, dlit, query, rnd, score, scores_view, sql_hash32, sql_normal, sql_score
+from .base import MODELS, S_CTE, dlit, query, rnd, score, scores_view, sql_hash32, sql_normal, sql_score, sql_uniform
 from .orders_queries import REPEAT_SEEDS, _RULE
 
 W = "WITH " + S_CTE
@@ -328,24 +329,25 @@ def pseudo_label_select(spark, sf):
 
 # D5 -----------------------------------------------------------------------
 @query("mixup_pairs", sql=W + f"""
-, b AS (SELECT id, y, num, p_m1, {sql_hash32('id', 42)} AS h FROM sa WHERE is_train)
-, p AS (SELECT *, h % (SELECT CAST(greatest(ceil(count(*) / 1000000.0), 1) AS BIGINT) FROM b) AS bk FROM b)
-, q AS (SELECT id, y, num, p_m1,
+, p AS (SELECT id, y, num, p_m1, {sql_hash32('id', 42)} AS h,
+          {dlit(0.2)} + {dlit(0.6)} * {sql_uniform('id', 'lam')} AS lam FROM sa WHERE is_train)
+, q AS (SELECT id, y, num, p_m1, lam,
           coalesce(lead(id) OVER w, first_value(id) OVER wf) AS pid,
           coalesce(lead(y) OVER w, first_value(y) OVER wf) AS py,
           coalesce(lead(num) OVER w, first_value(num) OVER wf) AS pnum,
           coalesce(lead(p_m1) OVER w, first_value(p_m1) OVER wf) AS pp
-        FROM p WINDOW w AS (PARTITION BY bk ORDER BY h, id),
-                      wf AS (PARTITION BY bk ORDER BY h, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
-SELECT id, pid AS partner, {dlit(0.7)} AS lam,
-       round({dlit(0.7)} * num + (1 - {dlit(0.7)}) * pnum, 4) AS num,
-       round({dlit(0.7)} * p_m1 + (1 - {dlit(0.7)}) * pp, 6) AS p_m1,
-       CASE WHEN {dlit(0.7)} >= 0.5 THEN y ELSE py END AS y
+        FROM p WINDOW w AS (ORDER BY h, id),
+                      wf AS (ORDER BY h, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT id, pid AS partner, round(lam, 6) AS lam,
+       round(lam * num + (1 - lam) * pnum, 4) AS num,
+       round(lam * p_m1 + (1 - lam) * pp, 6) AS p_m1,
+       CASE WHEN lam >= 0.5 THEN y ELSE py END AS y
 FROM q""")
 def mixup_pairs(spark, sf):
     s = scores_view(spark, sf).where("is_train").select("id", "y", "num", "p_m1")
-    m = augment.mixup_pairs(s, "id", ["num", "p_m1"], "y", 0.7, seed=42)   # buckets from row count
-    return m.select("id", "partner", "lam", rnd("num", 4).alias("num"), rnd("p_m1").alias("p_m1"), "y")
+    lam = F.lit(0.2) + F.lit(0.6) * uniform("id", seed="lam")     # both sides of one half
+    m = augment.mixup_pairs(s, "id", ["num", "p_m1"], "y", lam, seed=42)
+    return m.select("id", "partner", rnd("lam").alias("lam"), rnd("num", 4).alias("num"), rnd("p_m1").alias("p_m1"), "y")
 
 
 # D6 -----------------------------------------------------------------------
@@ -361,23 +363,21 @@ def gaussian_noise(spark, sf):
 
 # D7 -----------------------------------------------------------------------
 @query("group_swap", sql=W + f"""
-, gsz AS (SELECT grp, count(*) AS n FROM sa WHERE is_train GROUP BY grp)
-, b AS (SELECT s.id, s.grp, s.y, s.num, s.p_m1, g.n, {sql_hash32('s.id', 42)} AS h
-        FROM sa s JOIN gsz g ON s.grp = g.grp WHERE s.is_train)
-, p AS (SELECT *, h % CAST(greatest(ceil(n / 100000.0), 1) AS BIGINT) AS sub FROM b)
+, b AS (SELECT id, grp, y, num, p_m1, {sql_hash32('id', 42)} AS h FROM sa WHERE is_train)
 , q AS (SELECT *, coalesce(lead(id) OVER w, first_value(id) OVER wf) AS pid,
                coalesce(lead(num) OVER w, first_value(num) OVER wf) AS pnum,
                coalesce(lead(p_m1) OVER w, first_value(p_m1) OVER wf) AS pp
-        FROM p WINDOW w AS (PARTITION BY grp, sub ORDER BY h, id),
-                      wf AS (PARTITION BY grp, sub ORDER BY h, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
-SELECT id, grp, y, CASE WHEN n < 2 THEN id ELSE pid END AS partner,
-       round(CASE WHEN n >= 2 AND {sql_hash32('id', '42:num')} / CAST(4294967296 AS DOUBLE) < 0.3 THEN pnum ELSE num END, 4) AS num,
-       round(CASE WHEN n >= 2 AND {sql_hash32('id', '42:p_m1')} / CAST(4294967296 AS DOUBLE) < 0.3 THEN pp ELSE p_m1 END, 6) AS p_m1
-FROM q""")
+        FROM b WINDOW w AS (PARTITION BY grp ORDER BY h, id),
+                      wf AS (PARTITION BY grp ORDER BY h, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT id, grp, y, CASE WHEN grp IS NULL THEN id ELSE pid END AS partner,
+       round(CASE WHEN grp IS NOT NULL AND {sql_hash32('id', '42:num')} / CAST(4294967296 AS DOUBLE) < 0.3 THEN pnum ELSE num END, 4) AS num,
+       round(CASE WHEN grp IS NOT NULL AND {sql_hash32('id', '42:p_m1')} / CAST(4294967296 AS DOUBLE) < 0.3 THEN pp ELSE p_m1 END, 6) AS p_m1,
+       1 AS copy
+FROM q UNION ALL SELECT id, grp, y, id, round(num, 4), round(p_m1, 6), 0 FROM b""")
 def group_swap(spark, sf):
     s = scores_view(spark, sf).where("is_train").select("id", "grp", "y", "num", "p_m1")
     g = augment.group_swap(s, "id", "grp", ["num", "p_m1"], "y", 0.3, 42)
-    return g.select("id", "grp", "y", "partner", rnd("num", 4).alias("num"), rnd("p_m1").alias("p_m1"))
+    return g.select("id", "grp", "y", "partner", rnd("num", 4).alias("num"), rnd("p_m1").alias("p_m1"), "copy")
 
 
 # A16 / M9 -----------------------------------------------------------------

@@ -15,7 +15,7 @@ def test_group_mode_ties_and_all_null(spark):
 
 def test_group_median_percentile(spark):
     df = spark.createDataFrame([(1, float(x)) for x in [1, 2, 4, 10]], "g int, x double")
-    r = df.groupBy("g").agg(stats.percentile_expr("x", 0.5).alias("m"), stats.percentile_expr("x", 0.1).alias("p")).first()
+    r = stats.percentile_table(df, "g", "x", [0.5, 0.1], {("x", 0.5): "m", ("x", 0.1): "p"}).first()
     assert r["m"] == pytest.approx(3.0) and r["p"] == pytest.approx(1.3)
 
 
@@ -121,7 +121,7 @@ def test_priority_merge_and_pseudo_select(spark):
 
 def test_mixup_pair_values(spark):
     df = spark.createDataFrame([(0, 1.0, 10.0, 1), (1, 3.0, 20.0, 0)], "id int, a double, b double, y int")
-    m = augment.mixup_pairs(df, "id", ["a", "b"], "y", 0.7, seed=1, n_buckets=1)
+    m = augment.mixup_pairs(df, "id", ["a", "b"], "y", 0.7, seed=1, n_ranges=1)
     rows = {r["id"]: r for r in m.collect()}
     first = rows[0]
     assert first["partner"] == 1 and first["a"] == pytest.approx(1.6) and first["b"] == pytest.approx(13.0)
@@ -181,13 +181,16 @@ def test_standard_scale_moments(spark):
 
 def test_mixup_augment_row_count(spark):
     df = spark.range(200).select("id", (F.col("id") % 2).cast("int").alias("y"), (F.col("id") * 1.0).alias("x"))
-    out = augment.mixup_augment(df, "id", ["x"], "y", multiplier=2, n_buckets=4)
+    out = augment.mixup_augment(df, "id", ["x"], "y", multiplier=2, n_ranges=4)
     assert out.count() == 600 and out.select("aug_key").distinct().count() == 600
 
 
 def test_group_swap_same_group(spark):
     df = spark.range(60).select("id", (F.col("id") % 7).alias("g"), (F.col("id") * 1.0).alias("x"), F.lit(1).alias("y"))
     out = augment.group_swap(df, "id", "g", ["x"], "y", fraction=1.0)
+    assert out.where("copy = 0").count() == 60 and out.where("copy = 0 and partner <> id").count() == 0
+    out = out.where("copy = 1")
+    assert out.where("partner = id").count() == 0
     part = out.join(df.select(F.col("id").alias("partner"), F.col("g").alias("pg")), "partner")
     assert part.where("g <> pg").count() == 0
     assert out.where("x <> CAST(partner AS DOUBLE)").count() == 0
@@ -288,3 +291,33 @@ def test_degenerate_inputs_give_null_not_errors(spark):
     empty = spark.createDataFrame([], "p double, y int")
     sw = evaluate.threshold_sweep(empty, "p", "y")
     assert sw.count() == 121 and sw.where("accuracy IS NOT NULL").count() == 0
+
+
+def test_partners_do_not_depend_on_the_ranges(spark):
+    df = spark.range(300).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 2).alias("g"),
+                                 (F.col("id") * 1.0).alias("x"), (F.col("id") % 2).cast("int").alias("y"))
+    pairs = [sorted(map(tuple, augment.mixup_pairs(df, "id", ["x"], "y", 0.3, n_ranges=n).collect())) for n in (1, 7, 1024)]
+    assert pairs[0] == pairs[1] == pairs[2]
+    assert len({p[1] for p in pairs[0]}) == 300         # every row is a partner once
+    key = lambda t: tuple((v is not None, v) for v in t)
+    swaps = [sorted(map(tuple, augment.group_swap(df, "id", "g", ["x"], "y", n_ranges=n).collect()), key=key)
+             for n in (1, 64)]
+    assert swaps[0] == swaps[1]
+
+
+def test_missing_scores_count_as_below_the_cut(spark):
+    df = spark.createDataFrame([(0.9, 1), (None, 0), (None, 1), (0.2, 0)], "p double, y int")
+    assert df.agg(evaluate.accuracy_at("p", "y")).first()[0] == pytest.approx(0.75)
+    at_half = evaluate.threshold_sweep(df, "p", "y").where("threshold = 0.5").first()
+    assert at_half["accuracy"] == pytest.approx(0.75)
+    assert evaluate.roc_auc(df, "p", "y").first()["n_missing"] == 2
+    assert evaluate.roc_auc(df, "p", "y").first()["auc"] == pytest.approx(1.0)
+
+
+def test_auc_of_scores_in_a_narrow_range(spark):
+    df = spark.range(20000).select((F.lit(0.9999) + F.col("id") * 1e-9).alias("p"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    got = evaluate.roc_auc(df, "p", "y").first()["auc"]
+    pdf = df.toPandas()
+    r = pdf["p"].rank()
+    n1, n0 = pdf["y"].sum(), (1 - pdf["y"]).sum()
+    assert got == pytest.approx((r[pdf["y"] == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0))

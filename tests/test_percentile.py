@@ -84,7 +84,7 @@ def test_no_job_runs_while_plans_are_built(spark):
     tracker, group = spark.sparkContext.statusTracker(), "plan-only"
     spark.sparkContext.setJobGroup(group, "plans")
     try:
-        impute.impute_category_cascade(df, [("c", "d"), ("d", "c")], {"d": "mode"})
+        impute.impute_category_cascade(df, [("c", "d")], {"d": "mode"})
         impute.impute_median_cascade(df, "x", ["c"])
         impute.impute_amounts(df.withColumn("f", F.lit(False)), ["x"], "f", "c")
         assert not tracker.getJobIdsForGroup(group)
