@@ -20,7 +20,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import uniform
+from ..functions.hashing import hash32
 from .augment import _partner
 from .evaluate import accuracy_at, best_threshold, roc_auc, threshold_sweep
 from .folds import fold_of
@@ -190,18 +190,19 @@ def feature_importance_pruning(train: DataFrame, label: str, features: Sequence[
 
 
 def permutation_importance(train: DataFrame, id_col: str, label: str, features: Sequence[str],
-                           seed: int = 42, n_buckets: int = 16) -> DataFrame:
+                           seed: int = 42, n_ranges: int = 1024) -> DataFrame:
     """Accuracy drop when one feature's values are permuted across rows (each
-    row takes the value of the next row by hash inside its hash bucket)."""
+    row takes the value of the next row of the whole table by hash, wrapping).
+    ``n_ranges`` only cuts the work, it does not change a partner."""
     tr = assemble(train.select(id_col, label, *features), features).withColumn(
         "_label", F.col(label).cast("double"))
     model = forest(seed, numTrees=30, maxDepth=6).setFeaturesCol("features").setLabelCol("_label").fit(tr)
-    base = train.select(id_col, label, *features).withColumn("_h", uniform(id_col, seed=f"{seed}:perm"))
-    base = base.withColumn("_b", F.floor(F.col("_h") * n_buckets))
+    base = train.select(id_col, label, *features).withColumn("_h", hash32(id_col, seed=f"{seed}:perm"))
+    paired = _partner(base, [], id_col, list(features), n_ranges).persist()
     scores = []
     ref = model.transform(tr).agg(accuracy_at(positive_prob(), label, 0.5).alias("a"))
     for c in features:
-        shuffled = _partner(base, ["_b"], ["_h", id_col], [c]).withColumn(c, F.col(f"_p_{c}")).drop(f"_p_{c}")
+        shuffled = paired.withColumn(c, F.col(f"_p_{c}"))
         acc = model.transform(assemble(shuffled.select(id_col, label, *features), features)).agg(
             accuracy_at(positive_prob(), label, 0.5).alias("a"))
         scores.append(acc.select(F.lit(c).alias("feature"), F.col("a").alias("permuted_accuracy")))

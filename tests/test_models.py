@@ -1,5 +1,7 @@
 """Model-loop mechanics on small fixtures: self-training rounds and the
 calibration gate."""
+import hashlib
+
 from pyspark.sql import functions as F
 
 from sextant.functions.hashing import uniform
@@ -29,3 +31,32 @@ def test_calibration_gate_only_when_better(spark):
     assert out.where("prob_used < 0 OR prob_used > 1").count() == 0
     if flags == {0}:
         assert out.where("prob_used <> p").count() == 0 if "p" in out.columns else True
+
+
+def test_permutation_importance_matches_brute_force(spark, monkeypatch):
+    fitted, fit = [], models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit",
+                        lambda self, df: fitted.append(fit(self, df)) or fitted[-1])
+    df = spark.range(300).select("id", (F.col("id") % 10).cast("double").alias("x"), uniform("id", seed=5).alias("noise"))
+    df = df.withColumn("x", F.when(F.col("id") % 50 != 7, F.col("x")))        # some NULLs
+    df = df.withColumn("y", (F.col("id") % 10 >= 5).cast("int"))
+    rows = sorted(df.collect(), key=lambda r: (int(hashlib.md5(f"{r.id}:42:perm".encode()).hexdigest()[:8], 16), r.id))
+
+    def accuracy(name=None):
+        test = [(r.id, r.y, *[(nxt if c == name else r)[c] for c in ("x", "noise")])
+                for r, nxt in zip(rows, rows[1:] + rows[:1])]
+        frame = models.assemble(spark.createDataFrame(test, "id long, y int, x double, noise double"), ["x", "noise"])
+        p = fitted[0].transform(frame).select("y", models.positive_prob().alias("p")).collect()
+        return sum((r.p >= 0.5) == (r.y == 1) for r in p) / len(p)
+    for n_ranges in (1, 16, 1024):
+        got = {r.feature: r for r in
+               models.permutation_importance(df, "id", "y", ["x", "noise"], n_ranges=n_ranges).collect()}
+        assert set(got) == {"x", "noise"} and got["x"].importance > 0.3
+        for c, r in got.items():
+            assert abs(r.permuted_accuracy - accuracy(c)) < 1e-9 and abs(r.base_accuracy - accuracy()) < 1e-9
+
+
+def test_permutation_importance_query(spark):
+    from sextant.plans.model_queries import FEATURES, permutation_importance
+    rows = permutation_importance(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.feature for r in rows) == sorted(FEATURES)
