@@ -14,8 +14,12 @@ most words reach the empty state after a few. Long terms allow one edit
 words or a cue of reported speech stands in it; the window scales what the hit
 adds to the score.
 
-*Score.* For each (term, edits) the share of toxic documents among the sampled
-ones with that hit, smoothed; a document's score is the noisy-or of its
+*Score.* For each term the share of toxic documents among the sampled ones with an
+exact hit, smoothed. A misspelling backs off in steps: the sampled documents with
+this very form count first, then the term's share times its edit factor, which
+backs off to the factor over all terms. The factor is learned from forms that
+stand in one half of the sample only, as a form new to the sample does, so a term
+amid clean look-alikes gets a low one. A document's score is the noisy-or of its
 distinct terms that speak for toxicity. Without one it is the smoothed rate of
 the sampled documents without one."""
 
@@ -136,21 +140,26 @@ class LexiconAutomaton:
 
 
 class Scanner:
-    """Finds (term, edits, quoted) in documents; words seen before are looked up
-    by hash. The memory of seen words is emptied when it holds ``remember``."""
-
-    def __init__(self, terms, window: int = 8, remember: int = 1_000_000):
-        self.auto, self.window, self.remember = LexiconAutomaton(terms), window, remember
+    """Finds (term, edits, form, quoted) in documents; ``form`` is the word of a hit
+    with edits, else empty. A hit of a word under a stem of the lexicon counts for the
+    stem. Words seen before are looked up by hash. The memory of seen words is emptied
+    when it holds ``remember``."""
+
+    def __init__(self, terms, window: int = 8, remember: int = 1_000_000, fuzzy_length: int = 4):
+        self.auto, self.window, self.remember = LexiconAutomaton(terms, fuzzy_length), window, remember
+        stems = {x: i for i, (x, stem) in enumerate(terms) if stem}
+        self.of = [next((stems[x[:m]] for m in range(1, len(x)) if x[:m] in stems), i) if not stem else i
+                   for i, (x, stem) in enumerate(terms)]
         self.seen: dict[int, int] = {}
-        self.codes: list[tuple[int, int]] = []
-        self.code_of: dict[tuple[int, int], int] = {}
+        self.codes: list[tuple[int, int, str]] = []
+        self.code_of: dict[tuple[int, int, str], int] = {}
 
     def _code(self, raw: bytes) -> int:
         best = None
         for piece in _PIECES.findall(raw.decode("utf-8", "replace").lower()):
             m = self.auto.match(piece)
             if m and (best is None or m[1] < best[1]):
-                best = m
+                best = (self.of[m[0]], m[1], piece if m[1] else "")
         if best is None:
             return -1
         if best not in self.code_of:
@@ -171,9 +180,9 @@ class Scanner:
         return (lead and tail) or any(x.lower().strip(",.:;!?") in CUES for x in around)
 
     def block(self, w: K.Words):
-        """(document index, term, edits, quoted) of the hits of a block."""
+        """(document index, term, edits, form, quoted) of the hits of a block."""
         if len(self.seen) > self.remember:
-            self.seen = {}
+            self.seen, self.codes, self.code_of = {}, [], {}
         uniq, first, inv = np.unique(w.hash, return_index=True, return_inverse=True)
         body = w.bytes.tobytes()
         code = np.empty(len(uniq), dtype=np.int64)
@@ -185,8 +194,7 @@ class Scanner:
                 c = seen[h] = self._code(body[w.begin[f]:w.stop[f]])
             code[k] = c
         for i in np.flatnonzero(code[inv] >= 0).tolist():
-            term, edits = self.codes[code[inv[i]]]
-            yield int(w.doc[i]), term, edits, self._quoted(w, body, i)
+            yield int(w.doc[i]), *self.codes[code[inv[i]]], self._quoted(w, body, i)
 
 
 def _terms_of(text: str, stems: tuple[int, ...]) -> set[tuple[str, bool]]:
@@ -195,9 +203,11 @@ def _terms_of(text: str, stems: tuple[int, ...]) -> set[tuple[str, bool]]:
 
 
 def fit(labelled: DataFrame, stems: tuple[int, ...] = (4, 5, 6, 7), min_docs: int = 5, min_share: float = 0.005,
-        lift: float = 20.0, max_terms: int = 3000, prior: float = 2.0) -> dict:
+        lift: float = 20.0, max_terms: int = 3000, prior: float = 2.0, edit_factor: float = 0.9) -> dict:
     """The model from ``labelled`` (text, toxic 0/1; a bounded sample): terms,
-    precision per (term, edits), rate without a term, factor for quoted hits. A
+    precision per (term, edits) and per (term, misspelt form) of the sample, rate
+    without a term, factor for quoted hits. ``edit_factor`` is the edit factor
+    without any evidence. A
     term stands in at least ``min_docs`` and ``min_share`` of the toxic texts (a
     text that several documents share counts once) that no better term explains."""
     ship(labelled.sparkSession)
@@ -206,7 +216,7 @@ def fit(labelled: DataFrame, stems: tuple[int, ...] = (4, 5, 6, 7), min_docs: in
     n1, n0 = int(n1 or 0), int(n0 or 0)
     least = max(min_docs, min_share * n1)
     base = (n1 + 0.5) / (n1 + n0 + 1) if n1 + n0 else 0.0
-    empty = {"terms": [], "precision": {}, "rest": base, "quoted": 0.5}
+    empty = {"terms": [], "precision": {}, "forms": {}, "rest": base, "quoted": 0.5}
     if not n1 or not n0:
         return empty
 
@@ -236,6 +246,7 @@ def fit(labelled: DataFrame, stems: tuple[int, ...] = (4, 5, 6, 7), min_docs: in
     good = sorted((t for t in hot if score[t] >= lift), key=lambda t: (-hot[t], t))
     # a stem is of use if it gathers more than its most frequent word; it grows
     # while it keeps nearly all its documents; words under a stem are not needed
+    # but for their misspellings
     top: dict[str, int] = {}
     for (x, stem), n in hot.items():
         if not stem:
@@ -254,40 +265,73 @@ def fit(labelled: DataFrame, stems: tuple[int, ...] = (4, 5, 6, 7), min_docs: in
     terms = common + _cover(labelled.where("toxic = 1").select("text"), common, rest, stems)
     if not terms:
         return empty
+    used = {x for x, stem in terms if stem}
+    terms = terms + [(x, False) for x, stem in good if not stem and any(x[:m] in used for m in stems if m <= len(x))]
 
     def hits(batches):
         scan = Scanner(terms)
         for batch in batches:
-            label = batch.column(1).to_pylist()
+            label, half = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             out = []
             for a, b, w in K.word_blocks(batch.column(0), 1 << 18):
                 found = {}
-                for d, term, edits, quoted in scan.block(w):
-                    key = (a + d, term, edits)
+                for d, term, edits, form, quoted in scan.block(w):
+                    key = (a + d, term, edits, form)
                     found[key] = found.get(key, True) and quoted
-                out += [(d, t, e, q, label[d]) for (d, t, e), q in found.items()]
+                out += [(d, t, e, f, q, label[d], half[d]) for (d, t, e, f), q in found.items()]
                 hit = {d for d, *_ in found}
-                out += [(d, -1, 0, False, label[d]) for d in range(a, b) if d not in hit]
+                out += [(d, -1, 0, "", False, label[d], half[d]) for d in range(a, b) if d not in hit]
             if out:
-                _, t, e, q, y = zip(*out)
+                _, t, e, f, q, y, h = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(t, pa.int32()), pa.array(e, pa.int32()), pa.array(q, pa.bool_()), pa.array(y, pa.int64())],
-                    names=["term", "edits", "quoted", "toxic"])
-    rows = (labelled.select("text", F.col("toxic").cast("long").alias("toxic"))
-            .mapInArrow(hits, "term int, edits int, quoted boolean, toxic long")
-            .groupBy("term", "edits", "quoted").agg(F.sum("toxic").alias("a"), F.count("*").alias("m")).collect())
+                    [pa.array(t, pa.int32()), pa.array(e, pa.int32()), pa.array(f, pa.string()),
+                     pa.array(q, pa.bool_()), pa.array(y, pa.int64()), pa.array(h, pa.int32())],
+                    names=["term", "edits", "form", "quoted", "toxic", "half"])
+    # at most (words of the bounded sample) rows
+    rows = (labelled.select("text", F.col("toxic").cast("long").alias("toxic"), crc_mod("text", 2).cast("int").alias("half"))
+            .mapInArrow(hits, "term int, edits int, form string, quoted boolean, toxic long, half int")
+            .groupBy("term", "edits", "form", "quoted", "half").agg(F.sum("toxic").alias("a"), F.count("*").alias("m"))
+            .collect())
     num: dict = {}
+    forms: dict = {}
     for r in rows:
         if not r.quoted:
-            num[(r.term, r.edits)] = (r.a, r.m)
+            own = forms.setdefault((r.term, r.form), {}) if r.edits else num.setdefault(r.term, {})
+            own[r.half] = (r.a, r.m)
+    total = lambda own: (sum(a for a, _ in own.values()), sum(m for _, m in own.values()))
+    exact = {t: total(own) for t, own in num.items()}
     quoted = [(r.a, r.m) for r in rows if r.quoted]
     qa, qm = sum(a for a, _ in quoted), sum(m for _, m in quoted)
-    rest_a, rest_m = num.pop((-1, 0), (0, 0))
+    rest_a, rest_m = exact.pop(-1, (0, 0))
+    p0 = {t: (a + prior * base) / (m + prior) for t, (a, m) in exact.items()}
     return {"terms": terms, "rest": (rest_a + base) / (rest_m + 1),
-            "precision": {k: (a + prior * base) / (m + prior) for k, (a, m) in num.items()},
+            **_misspelt(p0, {t: m for t, (_, m) in exact.items()}, forms, edit_factor, prior),
             "quoted": (qa + 5.0) / (qm + 10.0)}
 
 
+def _misspelt(p0: dict, weight: dict, forms: dict, factor: float, prior: float) -> dict:
+    """``precision`` and ``forms`` of the model, from the terms' exact precision and
+    number of documents and from (toxic documents, documents) per (term, form) and
+    half of the sample."""
+    new: dict = {t: [0, 0] for t in p0}
+    for (t, _), own in forms.items():
+        if t in new and len(own) == 1:      # new to the other half
+            (a, m), = own.values()
+            new[t][0] += a
+            new[t][1] += m
+
+    def ratio(t, back):
+        return min(1.0, (new[t][0] + prior * back * p0[t]) / ((new[t][1] + prior) * p0[t]))
+    # over all terms, each by the documents it stands in as it is spelt
+    every = sum(weight[t] * ratio(t, factor) for t in p0) / max(1, sum(weight.values()))
+    precision = {(t, 0): p for t, p in p0.items()} | {(t, 1): p * ratio(t, every) for t, p in p0.items()}
+    seen = {}
+    for (t, form), own in forms.items():
+        a, m = (sum(x) for x in zip(*own.values()))
+        seen[(t, form)] = (a + precision.get((t, 1), 0.0)) / (m + 1)
+    return {"precision": precision, "forms": seen}
+
+
 def _cover(toxic: DataFrame, common: list, rest: list, stems: tuple[int, ...], least: int = 2) -> list:
     """Those of ``rest`` that explain toxic texts without a ``common`` term: each
     turn takes the one in most texts without a term so far, ``least`` at least.
@@ -331,8 +375,11 @@ def _score_column(column, scan: Scanner, model: dict, speaks: float):
     hits = np.zeros(n, dtype=np.int32)
     by_doc: dict[int, dict[int, float]] = {}
     for a, _, w in K.word_blocks(column, 1 << 18):
-        for d, term, edits, quoted in scan.block(w):
-            p = model["precision"].get((term, edits), unseen) * (model["quoted"] if quoted else 1.0)
+        for d, term, edits, form, quoted in scan.block(w):
+            p = model["precision"].get((term, edits), unseen)
+            if edits:
+                p = model["forms"].get((term, form), p)
+            p *= model["quoted"] if quoted else 1.0
             hits[a + d] += 1
             if p >= speaks:
                 own = by_doc.setdefault(a + d, {})

@@ -59,6 +59,36 @@ def test_toxicity_held_out(spark):
     assert toxicity.toxicity(df, spark.createDataFrame([], LABELS)).where("predicted = 1").count() == 0
 
 
+def test_toxicity_of_unseen_misspellings(spark):
+    rng = random.Random(9)
+    bad = ["blockhead", "nitwit", "scum", "trolling", "trolled", "trollish"]
+    docs, labels = [], []
+    for i in range(600):
+        w, toxic = words(rng, 40), i % 4 == 0
+        if toxic:
+            w[rng.randrange(40)] = bad[i // 4 % 6]
+        elif i % 8 == 1:
+            w[rng.randrange(40)] = rng.choice(["nitwits", "scud", "strolling"])       # clean words one edit away
+        docs.append((i, " ".join(w), "en", "s", 0))
+        labels.append((i, 1, int(toxic)))
+    new = ["you blokhead go", "what a blockheda", "such scumm here", "he is trolilng again", "they torlled me"]
+    clean = ["two nitwits there", "a scud in the sky", "the black head of it", "out strolling again"]
+    docs += [(9000 + i, t, "en", "s", 0) for i, t in enumerate(new + clean)]
+    got = {r.doc_id: r for r in toxicity.toxicity(spark.createDataFrame(docs, DOCS),
+                                                  spark.createDataFrame(labels, LABELS)).collect()}
+    assert [got[9000 + i].predicted for i in range(9)] == [1] * 5 + [0] * 4
+    assert all(got[i].predicted == y for i, _, y in labels)
+
+
+def test_edit_factor_is_low_amid_look_alikes():
+    p0, weight = {0: 0.9, 1: 0.9}, {0: 50, 1: 50}
+    forms = {(1, f"form{i}"): {i % 2: (0, 1)} for i in range(20)}
+    m = toxicity._misspelt(p0, weight, forms, 0.9, 2.0)
+    assert m["precision"][(0, 1)] > 3 * m["precision"][(1, 1)] and m["precision"][(1, 0)] == 0.9
+    alone = toxicity._misspelt(p0, weight, {(0, "f"): {0: (0, 1), 1: (0, 1)}, (0, "g"): {0: (3, 3), 1: (2, 2)}}, 0.9, 2.0)
+    assert alone["forms"][(0, "f")] < 0.5 < 0.9 < alone["forms"][(0, "g")] and alone["precision"][(1, 1)] >= 0.7
+
+
 def distance(a, b):
     """Restricted edit distance with swaps of neighbours, by dynamic programming."""
     d = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
