@@ -5,8 +5,11 @@ tokens. Below that path stand the templates: tokens that hold a digit are
 variable fields in every template, and one further field may vary, a run of
 neighbouring tokens (the rest of the line is cut into ``fields`` runs). A line so
 belongs to its own template and to one with each run left open. A template
-recurs if lines of ``min_docs`` different texts belong to it; lines of recurring
-templates are dropped.
+recurs if lines of enough different texts belong to it; lines of recurring
+templates are dropped. ``min_docs`` texts are enough, one less for every
+``WORDS_PER_DOC`` fixed tokens of the template, 2 at least: the longer a line, the
+less it repeats by chance. Lines of under ``min_tokens`` words stand for themselves,
+with no field, and need twice ``min_docs`` texts.
 
 Templates are 64-bit hashes, sums over positions, computed for all lines of a
 batch by array operations. A task sends each template once per flush with the
@@ -28,12 +31,14 @@ _U = np.uint64
 _WILD = _U(0x7E57AB1E5EED0001)
 #: Recurring templates that a task may hold (8 bytes each).
 HELD_TEMPLATES = 1_000_000
+#: So many fixed tokens of a template stand for one of its texts.
+WORDS_PER_DOC = 8
 
 
 class Lines:
     """Lines (split at newline) of a block of documents and their templates."""
 
-    def __init__(self, w: K.Words, depth: int, fields: int, min_tokens: int):
+    def __init__(self, w: K.Words, depth: int, fields: int, min_tokens: int, min_docs: int = 5):
         body = w.bytes
         nl = np.flatnonzero(body == 0x0A)
         # a line starts at a document's start and after each of its newlines
@@ -57,7 +62,9 @@ class Lines:
         first = np.cumsum(self.tokens) - self.tokens
         pos = np.arange(len(line)) - first[line]
         m = self.tokens[line]
-        tok = np.where(w.has_digit(), _WILD, w.hash)
+        wild = w.has_digit() & (m >= min_tokens)
+        tok = np.where(wild, _WILD, w.hash)
+        fixed = np.bincount(line[~wild], minlength=n)
         with np.errstate(over="ignore"):
             part = K.mix64(tok ^ K.mix64(pos.astype(np.uint64)))
             total = K.segment_sums(part, line, n) + K.mix64(self.tokens.astype(np.uint64))
@@ -65,16 +72,20 @@ class Lines:
             # index of the run of each token behind the leading ones
             run = np.where(pos >= depth, ((pos - depth) * fields) // np.maximum(m - depth, 1), -1)
             open_ = np.flatnonzero(self.tokens >= max(min_tokens, depth + fields))
-            sig, of = [own], [np.arange(n)]
+            sig, of, words = [own], [np.arange(n)], [fixed]
             for f in range(fields):
                 cut = total.copy()
                 pick = np.flatnonzero(run == f)
                 cut -= K.segment_sums(part[pick], line[pick], n)
                 sig.append(K.mix64(cut + K.mix64(np.full(1, 1000 + f, dtype=np.uint64))[0])[open_])
                 of.append(open_)
-        self.sig, self.line = np.concatenate(sig), np.concatenate(of)
-        keep = self.tokens[self.line] >= min_tokens
-        self.sig, self.line = self.sig[keep], self.line[keep]
+                words.append((fixed - np.bincount(line[pick[~wild[pick]]], minlength=n))[open_])
+        self.sig, self.line, words = np.concatenate(sig), np.concatenate(of), np.concatenate(words)
+        # texts that a template needs
+        self.need = np.where(self.tokens[self.line] < min_tokens, 2 * min_docs,
+                             np.maximum(min_docs - words // WORDS_PER_DOC, min(2, min_docs)))
+        keep = self.tokens[self.line] > 0
+        self.sig, self.line, self.need = self.sig[keep], self.line[keep], self.need[keep]
 
 
 def _text_key(w: K.Words) -> np.ndarray:
@@ -86,40 +97,43 @@ def _text_key(w: K.Words) -> np.ndarray:
 
 def recurring_templates(docs: DataFrame, depth: int, fields: int, min_tokens: int, min_docs: int,
                         flush: int = 1_000_000) -> DataFrame:
-    """(sig) of the templates whose lines stand in ``min_docs`` different texts.
-    ``min_docs`` texts are proof enough, so a task sends so many per template and
-    flush at most; texts are then told apart and counted."""
+    """(sig) of the templates whose lines stand in as many different texts as they
+    need. These are proof enough, so a task sends so many per template and flush at
+    most; texts are then told apart and counted."""
     def run(batches):
-        sig, key, have = [], [], 0
+        sig, key, need, have = [], [], [], 0
 
         def emit():
-            s, k = np.concatenate(sig), np.concatenate(key)
+            s, k, m = np.concatenate(sig), np.concatenate(key), np.concatenate(need)
             order = np.lexsort((k, s))
-            s, k = s[order], k[order]
+            s, k, m = s[order], k[order], m[order]
             new = np.r_[True, (s[1:] != s[:-1]) | (k[1:] != k[:-1])]
-            s, k = s[new], k[new]
+            s, k, m = s[new], k[new], m[new]
             first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
             rank = np.arange(len(s)) - np.repeat(first, np.diff(np.r_[first, len(s)]))
-            few = rank < min_docs
+            few = rank < m
             return pa.RecordBatch.from_arrays(
-                [pa.array(s[few].view(np.int64)), pa.array((k[few] >> _U(33)).astype(np.int32))],
-                names=["sig", "txt"])
+                [pa.array(s[few].view(np.int64)), pa.array((k[few] >> _U(33)).astype(np.int32)),
+                 pa.array(m[few].astype(np.int32))], names=["sig", "txt", "need"])
 
         for batch in batches:
             for _, _, w in K.word_blocks(batch.column(0), 1 << 18):
-                x = Lines(w, depth, fields, min_tokens)
+                x = Lines(w, depth, fields, min_tokens, min_docs)
                 if not len(x.sig):
                     continue
                 sig.append(x.sig)
                 key.append(_text_key(w)[x.doc[x.line]])
+                need.append(x.need)
                 have += len(x.sig)
                 if have >= flush:
                     yield emit()
-                    sig, key, have = [], [], 0
+                    sig, key, need, have = [], [], [], 0
         if have:
             yield emit()
-    part = docs.select("text").mapInArrow(run, "sig long, txt int").groupBy("sig", "txt").agg(F.lit(1).alias("one"))
-    return part.groupBy("sig").agg(F.count("*").alias("m")).where(F.col("m") >= min_docs).select("sig")
+    part = (docs.select("text").mapInArrow(run, "sig long, txt int, need int")
+            .groupBy("sig", "txt").agg(F.max("need").alias("need")))
+    return (part.groupBy("sig").agg(F.count("*").alias("m"), F.max("need").alias("need"))
+            .where(F.col("m") >= F.col("need")).select("sig"))
 
 
 def _drop_held(src: DataFrame, held: np.ndarray, depth: int, fields: int, min_tokens: int) -> DataFrame:
@@ -178,14 +192,15 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          fields: int = 4, min_tokens: int = 3, min_docs: int = 5,
                          held_templates: int = HELD_TEMPLATES) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped) per input row: the text without the
-    lines of recurring templates. Lines of under ``min_tokens`` words are never
-    dropped, so blank lines and single words stay. Copies of one text count once,
-    so a text is not emptied for being copied.
+    lines of recurring templates. Lines of under ``min_tokens`` words need twice
+    ``min_docs`` texts; blank lines stay. Copies of one text count once, so a text is
+    not emptied for being copied; near copies are different texts and all lose the long
+    lines they share, so a near-copy join belongs before this step.
 
     A NULL text stays NULL with no lines; an empty text stays empty; a text that
     loses no line stays as it is, else its lines are joined anew. Repeated rows and
     rows without an id are rows like others; other columns are ignored. A template
-    met in exactly ``min_docs`` texts recurs. An empty table gives an empty result.
+    met in exactly as many texts as it needs recurs. An empty table gives an empty result.
     Up to ``held_templates`` recurring templates are held by each task; more are
     joined."""
     ship(docs.sparkSession)

@@ -212,6 +212,33 @@ def test_line_templates_match_brute_force(spark):
     assert linetemplates.drop_recurring_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_long_lines_recur_from_two_texts_and_short_ones_from_ten(spark):
+    def plain(n):       # words without digits, none twice
+        return " ".join("".join("abcdefghij"[int(c)] for c in str(next(count))) for _ in range(n))
+    count = iter(range(1000, 10 ** 6))
+    lines = {"w60": (plain(60), 2), "w24": (plain(24), 2), "w17": (plain(17), 3), "w9": (plain(9), 4), "w4": (plain(4), 5),
+             "w2": ("Le treque.", 10), "w1": ("Les.", 10)}
+    docs, want = [], {}
+    for name, (line, need) in lines.items():
+        for many in (need - 1, need):
+            body = line if many == need else line.replace("e", "x").replace("b", "y")
+            for _ in range(many):
+                own = plain(12)
+                want[len(docs)] = own if many == need else own + "\n" + body
+                docs.append((len(docs), own + "\n" + body, "en", "s", 0))
+    for i in range(30):         # a line of variable fields only; the copy of a long text
+        docs.append((len(docs), f"{i}\n{plain(12)}", "en", "s", 0))
+        want[docs[-1][0]] = docs[-1][1]
+    alone = plain(80)
+    for _ in range(3):
+        docs.append((len(docs), alone, "en", "s", 0))
+        want[docs[-1][0]] = alone
+    df = spark.createDataFrame(docs, DOCS)
+    for held in (0, 10 ** 6):
+        got = linetemplates.drop_recurring_lines(df, held_templates=held)
+        assert {r.doc_id: r.text for r in got.collect()} == want
+
+
 def test_token_files_round_trip(spark):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
