@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from .common import REGISTRY, documents, query
+from .convrepair import repair_damaged
 from .jaccard import ngram_jaccard_join
 from .langmix import identify_languages
 from .licences import TEMPLATES, TERM, scan_licences
 from .linetemplates import drop_recurring_lines
 from .mixing import mix_sources
 from .sharding import place
+from .simhash import simhash_components
 from .tiling import contaminated
 from .tokenfile import read_documents, token_folder, write_tokens
 from .toxicity import toxicity
 from .vptree import nearest
+from .whitening import whiten
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -184,6 +187,77 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(documents(spark, sf_dir).select("doc_id", "text", path.alias("path")))
 
 
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+# crc32 of the bytes of the (ASCII) key, by the reflected polynomial's table
+OP12_SQL = r"""WITH RECURSIVE
+byte(i) AS (SELECT range FROM range(256)),
+bits(i, k, v) AS (SELECT i, 0, CAST(i AS BIGINT) FROM byte UNION ALL
+  SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM bits WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+          list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT))),
+        lambda a, b: xor(a // 256, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS code FROM c, tab),
+d AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+        CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE code <> 0),
+o AS (SELECT *, row_number() OVER w AS i, left(role, 1) AS ini, lag(left(role, 1)) OVER w AS before,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+        regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body
+      FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+r AS (SELECT conv_id, turn, role, text, i, ini, before, CASE WHEN body = '' THEN 'blank' WHEN again THEN 'duplicate'
+        WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM o),
+st AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+delta(q, ch, q2) AS (VALUES ('0', 's', 'S'), ('0', 'u', 'U'), ('S', 'u', 'U'), ('U', 'a', 'A'), ('A', 'u', 'U')),
+ins(q, x, q2) AS (VALUES ('0', '', '0'), ('0', 'u', 'U'), ('0', 'ua', 'A'), ('S', '', 'S'), ('S', 'u', 'U'), ('S', 'ua', 'A'),
+  ('U', '', 'U'), ('U', 'a', 'A'), ('A', '', 'A'), ('A', 'u', 'U')),
+act AS (SELECT conv_id, i, 'D' AS e, p.q AS q, p.q AS q2, '-' AS ch, 3 AS cost FROM r, (SELECT DISTINCT q FROM ins) p
+  UNION ALL SELECT conv_id, i, 'K', q, q2, ch, CAST(fault = 'truncated' AS INTEGER) FROM r JOIN delta ON ch = ini
+    WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, i, 'R', q, q2, ch, 2 + CAST(fault = 'truncated' AS INTEGER) FROM r JOIN delta ON ch IN ('u', 'a')
+    WHERE fault NOT IN ('blank', 'duplicate')),
+step(conv_id, i, q, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '0', {'cost': CAST(0 AS BIGINT), 'audit': '', 'roles': ''} FROM st
+  UNION ALL
+  SELECT s.conv_id, s.i + 1, a.q2, min({'cost': s.best.cost + 2 * len(x) + a.cost,
+      'audit': s.best.audit || repeat('I', len(x)) || a.e, 'roles': s.best.roles || x || a.ch})
+  FROM step s JOIN ins ON ins.q = s.q JOIN act a ON a.conv_id IS NOT DISTINCT FROM s.conv_id AND a.i = s.i + 1 AND a.q = ins.q2
+  GROUP BY s.conv_id, s.i, a.q2),
+win AS (SELECT s.conv_id, min({'cost': s.best.cost + 2 * len(x), 'audit': s.best.audit || repeat('I', len(x)),
+          'roles': s.best.roles || x}) AS best
+        FROM step s JOIN st ON st.conv_id IS NOT DISTINCT FROM s.conv_id AND st.n = s.i JOIN ins ON ins.q = s.q
+        WHERE q2 IN ('0', 'A') GROUP BY s.conv_id),
+ed AS (SELECT conv_id, p, best.audit[p] AS e, best.roles[p] AS ch, CAST(p - len(replace(best.audit[:p], 'I', '')) AS BIGINT) AS lead
+       FROM (SELECT conv_id, best, unnest(range(1, len(best.audit) + 1)) AS p FROM win)),
+lines AS (SELECT ed.conv_id, p, CASE WHEN e = 'K' THEN role WHEN ch = 'u' THEN 'user' ELSE 'assistant' END || ':'
+            || CASE WHEN e = 'I' THEN '' ELSE text END AS line
+          FROM ed LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM ed.conv_id AND e <> 'I' AND r.i = p - lead WHERE e <> 'D'),
+txt AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY p) AS t FROM lines GROUP BY conv_id)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN st ON st.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN win ON win.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN txt ON txt.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
+@query("op12_conversation_repair", OP12_SQL)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(read_table(spark, sf_dir, "conversations"))
+
+
+@query("op13_simhash_anchors")
+def op13_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def queries():
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
