@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import zipfile
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,27 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def release_memory() -> None:
+    """Hand the freed memory of this worker process back to the system: a worker
+    lives on between tasks, next to stages that run in the JVM alone."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):        # another C library: nothing to trim
+        pass
+
+
+def trimmed(run):
+    """``run`` (batches to batches) that hands freed memory back when a task ends."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return wrapped
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import components, ship, small, staged
+from .common import components, release_memory, ship, small, staged, trimmed
 
 _U = np.uint64
 _MULTI = 0xFFFFFF
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, m), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
                      keys.slice(a, m)], names=["doc_id", "n", "f1", "f2", "text_key"])
-    return docs.mapInArrow(run, FP_SCHEMA)
+    return docs.mapInArrow(trimmed(run), FP_SCHEMA)
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
@@ -195,6 +195,8 @@ def _tally(packed: DataFrame, n_frag: int) -> DataFrame:
         g, m = g[order], m[order]
         new = np.r_[True, (g[1:] != g[:-1]) | (m[1:] != m[:-1])] if len(g) else np.zeros(0, dtype=bool)
         who, cnt = np.unique(m[new], return_counts=True)
+        del g, m, o, order, new, multi
+        release_memory()
         return bucketed(who, cnt.astype(np.uint64))
 
     def total(key, table):
@@ -207,7 +209,7 @@ def _tally(packed: DataFrame, n_frag: int) -> DataFrame:
             .groupBy("bucket").applyInArrow(total, "member long, credit long"))
 
 
-def shared_counts(docs: DataFrame, k: int, n_frag: int, flush: int = 1_500_000) -> DataFrame:
+def shared_counts(docs: DataFrame, k: int, n_frag: int, flush: int = 750_000) -> DataFrame:
     """(f1, credit): how many n-grams of a class some other class holds, at most."""
     def run(batches):
         def source():
@@ -215,10 +217,10 @@ def shared_counts(docs: DataFrame, k: int, n_frag: int, flush: int = 1_500_000)
                 for _, _, doc, h, _, f1, _ in _sets(batch.column(0), k):
                     yield h >> _U(24), f1[doc], f1[doc]
         yield from _pack(source(), n_frag, flush)
-    return _tally(docs.select("text").mapInArrow(run, PACKED), n_frag).withColumnRenamed("member", "f1")
+    return _tally(docs.select("text").mapInArrow(trimmed(run), PACKED), n_frag).withColumnRenamed("member", "f1")
 
 
-def _cross_counts(own: DataFrame, n_frag: int, flush: int = 1_500_000) -> DataFrame:
+def _cross_counts(own: DataFrame, n_frag: int, flush: int = 750_000) -> DataFrame:
     """(node, credit) from (node, comp, grams): n-grams another component holds."""
     def run(batches):
         def source():
@@ -230,7 +232,7 @@ def _cross_counts(own: DataFrame, n_frag: int, flush: int = 1_500_000) -> DataFr
                     node, comp = (part.column(i).to_numpy().view(np.uint64) for i in (0, 1))
                     yield gram, np.repeat(comp, size), np.repeat(node, size)
         yield from _pack(source(), n_frag, flush)
-    return _tally(own.select("node", "comp", "grams").mapInArrow(run, PACKED), n_frag).withColumnRenamed("member", "node")
+    return _tally(own.select("node", "comp", "grams").mapInArrow(trimmed(run), PACKED), n_frag).withColumnRenamed("member", "node")
 
 
 def _class_sets(docs: DataFrame, keep: DataFrame, k: int) -> DataFrame:
@@ -249,7 +251,7 @@ def _class_sets(docs: DataFrame, keep: DataFrame, k: int) -> DataFrame:
                     names=["node", "n", "gap", "grams"])
     pick = small(keep.select(F.col("doc_id").alias("_kid"), "f1", "f2", "gap"))
     joined = docs.join(pick, docs.doc_id == pick._kid).select("text", "f1", "f2", "gap")
-    return joined.mapInArrow(run, "node long, n long, gap long, grams array<long>").dropDuplicates(["node"])
+    return joined.mapInArrow(trimmed(run), "node long, n long, gap long, grams array<long>").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -282,7 +284,7 @@ def _first_candidates(sets: DataFrame, n_keys: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(node, n_keys)), pa.array(np.repeat(np.arange(n_keys, dtype=np.int32), len(node))),
                  pa.array(key.view(np.int64)), pa.array(np.tile(gap, n_keys))], names=["node", "slot", "val", "gap"])
-    keys = sets.select("node", "grams", "gap").mapInArrow(run, "node long, slot int, val long, gap long")
+    keys = sets.select("node", "grams", "gap").mapInArrow(trimmed(run), "node long, slot int, val long, gap long")
     low = (keys.groupBy("slot", "val").agg(F.min(F.struct("gap", "node")).alias("best"), F.count("*").alias("m"))
            .where("m > 1").select("slot", "val", F.col("best.node").alias("lead")))
     return (keys.join(low, ["slot", "val"]).where("node <> lead")
@@ -310,7 +312,7 @@ def _sketches(sets: DataFrame) -> DataFrame:
                     [part.column(0)] + [pa.array(np.ascontiguousarray(words[:, i])) for i in range(SKETCH)],
                     names=["node"] + [f"k{i}" for i in range(SKETCH)])
     return sets.select("node", "grams").mapInArrow(
-        run, "node long, " + ", ".join(f"k{i} long" for i in range(SKETCH)))
+        trimmed(run), "node long, " + ", ".join(f"k{i} long" for i in range(SKETCH)))
 
 
 def _rest_candidates(sets: DataFrame, comp: DataFrame, percent: int, fragment_grams: int) -> DataFrame:
@@ -357,7 +359,7 @@ def _rest_candidates(sets: DataFrame, comp: DataFrame, percent: int, fragment_gr
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                        percent: int = 80, n_keys: int = 6, n_segments: int = 4,
-                       fragment_grams: int = 2_000_000) -> DataFrame:
+                       fragment_grams: int = 1_000_000) -> DataFrame:
     """Groups of documents connected by n-gram Jaccard links.
 
     Returns one row per input row: (``doc_id``, ``n_shingles``, ``component_id``,
@@ -422,7 +424,7 @@ def _segments(sets: DataFrame, n_segments: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[r]), pa.array(n[r]), pa.array(frag[first].astype(np.int32)),
                  pa.ListArray.from_arrays(pa.array(off), pa.array(vals))], names=["node", "n", "frag", "seg"])
-    return sets.select("node", "n", "grams").mapInArrow(run, "node long, n long, frag int, seg array<long>")
+    return sets.select("node", "n", "grams").mapInArrow(trimmed(run), "node long, n long, frag int, seg array<long>")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import ship, staged, word_count
+from .common import ship, staged, trimmed, word_count
 
 SCHEMA = ("doc_id long, item_id long, coverage double, item_words int, n_tiles int, longest int, "
           "spans array<struct<doc_word:int,item_word:int,words:int>>")
@@ -158,7 +158,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
         return run
-    parts = [src.mapInArrow(scan(index), SCHEMA)
+    parts = [src.mapInArrow(trimmed(scan(index)), SCHEMA)
              for index in _indexes(benchmark, item_col, item_text_col, min_match, block_words)]
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("item_id", F.when(F.col("item_id") != _NO_ID, F.col("item_id")))
@@ -181,7 +181,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 yield batch.filter(pa.array(keep))
         return run
     for index in _indexes(benchmark, item_col, item_text_col, min_match, block_words):
-        docs = docs.mapInArrow(scan(index), docs.schema)
+        docs = docs.mapInArrow(trimmed(scan(index)), docs.schema)
     return docs
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import crc_mod, ship, small, staged
+from .common import crc_mod, ship, small, staged, trimmed
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _PIECES = re.compile(r"[^\W_]+")
@@ -237,7 +237,7 @@ def fit(labelled: DataFrame, stems: tuple[int, ...] = (4, 5, 6, 7), min_docs: in
     schema = "term string, stem boolean, n long"
 
     def totals(label, wanted):
-        return (labelled.where(F.col("toxic") == label).select("text").mapInArrow(count(wanted), schema)
+        return (labelled.where(F.col("toxic") == label).select("text").mapInArrow(trimmed(count(wanted)), schema)
                 .groupBy("term", "stem").agg(F.sum("n").alias("n")))
     # at most (terms of the bounded sample) / min_docs rows
     hot = {(r.term, r.stem): r.n for r in totals(1, None).where(F.col("n") >= least).collect()}
@@ -289,7 +289,7 @@ def fit(labelled: DataFrame, stems: tuple[int, ...] = (4, 5, 6, 7), min_docs: in
                     names=["term", "edits", "form", "quoted", "toxic", "half"])
     # at most (words of the bounded sample) rows
     rows = (labelled.select("text", F.col("toxic").cast("long").alias("toxic"), crc_mod("text", 2).cast("int").alias("half"))
-            .mapInArrow(hits, "term int, edits int, form string, quoted boolean, toxic long, half int")
+            .mapInArrow(trimmed(hits), "term int, edits int, form string, quoted boolean, toxic long, half int")
             .groupBy("term", "edits", "form", "quoted", "half").agg(F.sum("toxic").alias("a"), F.count("*").alias("m"))
             .collect())
     num: dict = {}
@@ -346,7 +346,7 @@ def _cover(toxic: DataFrame, common: list, rest: list, stems: tuple[int, ...], l
                 t = _terms_of(x, stems)
                 own.append([] if t & taken else sorted(number[y] for y in t if y in number))
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32()))], names=["own"])
-    docs = [set(r.own) for r in toxic.mapInArrow(run, "own array<int>").where("size(own) > 0").collect()]
+    docs = [set(r.own) for r in toxic.mapInArrow(trimmed(run), "own array<int>").where("size(own) > 0").collect()]
     where: dict[int, set[int]] = {}
     for d, own in enumerate(docs):
         for t in own:
@@ -407,7 +407,7 @@ def keep_clean(docs: DataFrame, model: dict, text_col: str = "text", threshold:
         for batch in batches:
             score, _, _ = _score_column(batch.column(at), scan, model, speaks)
             yield batch.filter(pa.array(score < threshold))
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def score_documents(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
@@ -426,7 +426,7 @@ def score_documents(docs: DataFrame, model: dict, id_col: str = "doc_id", text_c
                 [batch.column(0), pa.array(score), pa.array(hits), pa.array(terms, pa.list_(pa.string()))],
                 names=["doc_id", "score", "n_hits", "terms"])
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, score double, n_hits int, terms array<string>")
+    return src.mapInArrow(trimmed(run), "doc_id long, score double, n_hits int, terms array<string>")
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
