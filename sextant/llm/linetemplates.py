@@ -2,7 +2,8 @@
 
 A line's path in the tree is fixed in depth: its token count, then its leading
 tokens. Below that path stand the templates: tokens that hold a digit are
-variable fields in every template, and one further field may vary, a run of
+variable fields in every template (in a line with a fixed token for every two of
+them; rows of numbers stand for themselves), and one further field may vary, a run of
 neighbouring tokens (the rest of the line is cut into ``fields`` runs). A line so
 belongs to its own template and to one with each run left open. A template
 recurs if lines of enough different texts belong to it; lines of recurring
@@ -62,7 +63,11 @@ class Lines:
         first = np.cumsum(self.tokens) - self.tokens
         pos = np.arange(len(line)) - first[line]
         m = self.tokens[line]
-        wild = w.has_digit() & (m >= min_tokens)
+        digit = w.has_digit()
+        fields_of = np.bincount(line[digit], minlength=n)
+        # fields need fixed tokens around them: one for every two, else all tokens stand for themselves
+        ok = (self.tokens >= min_tokens) & (2 * (self.tokens - fields_of) >= fields_of) & (fields_of < self.tokens)
+        wild = digit & ok[line]
         tok = np.where(wild, _WILD, w.hash)
         fixed = np.bincount(line[~wild], minlength=n)
         with np.errstate(over="ignore"):
@@ -84,7 +89,7 @@ class Lines:
         # texts that a template needs
         self.need = np.where(self.tokens[self.line] < min_tokens, 2 * min_docs,
                              np.maximum(min_docs - words // WORDS_PER_DOC, min(2, min_docs)))
-        keep = self.tokens[self.line] > 0
+        keep = (self.tokens[self.line] > 0) & (words > 0)       # nothing but fields is no template
         self.sig, self.line, self.need = self.sig[keep], self.line[keep], self.need[keep]
 
 

@@ -172,11 +172,15 @@ def template_keys(line, depth=2, fields=4, least=3):
     t = ["*" if re.search("[0-9]", w) else w.lower() for w in line.split()]
     if len(t) < least:
         return []
+    if t.count("*") > 2 * (len(t) - t.count("*")):      # a row of numbers stands for itself
+        t = line.lower().split()
     out = [(len(t), tuple(t), None)]
     if len(t) >= max(least, depth + fields):
         for f in range(fields):
-            out.append((len(t), tuple(None if i >= depth and (i - depth) * fields // (len(t) - depth) == f else w
-                                      for i, w in enumerate(t)), f))
+            rest = tuple(None if i >= depth and (i - depth) * fields // (len(t) - depth) == f else w
+                         for i, w in enumerate(t))
+            if set(rest) - {None, "*"}:
+                out.append((len(t), rest, f))
     return out
 
 
@@ -212,6 +216,21 @@ def test_line_templates_match_brute_force(spark):
     assert linetemplates.drop_recurring_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_rows_of_numbers_stay_unless_they_repeat(spark):
+    """Unique rows of numbers are data; a repeated one, and a template with fixed
+    tokens around its fields, are not."""
+    rng = random.Random(7)
+    docs, want = [], {}
+    for i in range(60):
+        row = " ".join(str(rng.randrange(10 ** 9)) for _ in range(4))
+        total = f"{rng.randrange(10 ** 6)} {rng.randrange(10 ** 6)} total {rng.randrange(10 ** 6)}"
+        lines = [row, total, "7 7 7 7 7 7", f"Page {rng.randrange(999)} of {rng.randrange(999)} here"]
+        docs.append((i, "\n".join(lines), "en", "s", 0))
+        want[i] = row + "\n" + total
+    got = linetemplates.drop_recurring_lines(spark.createDataFrame(docs, DOCS))
+    assert {r.doc_id: r.text for r in got.collect()} == want
+
+
 def test_long_lines_recur_from_two_texts_and_short_ones_from_ten(spark):
     def plain(n):       # words without digits, none twice
         return " ".join("".join("abcdefghij"[int(c)] for c in str(next(count))) for _ in range(n))
