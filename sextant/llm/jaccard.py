@@ -236,7 +236,7 @@ def _cross_counts(own: DataFrame, n_frag: int, flush: int = 750_000) -> DataFram
 
 
 def _class_sets(docs: DataFrame, keep: DataFrame, k: int) -> DataFrame:
-    """(node, n, gap, grams array<long>) of the classes in ``keep`` (doc_id, f1, f2, gap)."""
+    """(node, n, gap, grams array<long>) of the classes in ``keep`` (doc_id, text_key, f1, f2, gap)."""
     def run(batches):
         for batch in batches:
             f1w, f2w, gap = (batch.column(i).to_numpy() for i in (1, 2, 3))
@@ -249,8 +249,11 @@ def _class_sets(docs: DataFrame, keep: DataFrame, k: int) -> DataFrame:
                     [pa.array(f1.view(np.int64)[rows]), pa.array(n[rows]), pa.array(gap[a:a + m][rows]),
                      pa.ListArray.from_arrays(pa.array(off), pa.array(h.view(np.int64)[keep_g]))],
                     names=["node", "n", "gap", "grams"])
-    pick = small(keep.select(F.col("doc_id").alias("_kid"), "f1", "f2", "gap"))
-    joined = docs.join(pick, docs.doc_id == pick._kid).select("text", "f1", "f2", "gap")
+    pick = small(keep.select(F.col("doc_id").alias("_kid"), F.col("text_key").alias("_key"), "f1", "f2", "gap"))
+    # one row of each class; of a class without an id, the rows of one of its texts
+    one = docs.withColumn("text_key", F.xxhash64("text"))
+    joined = (one.join(pick, one.doc_id.eqNullSafe(F.col("_kid")) & (one.text_key == F.col("_key")))
+              .select("text", "f1", "f2", "gap"))
     return joined.mapInArrow(trimmed(run), "node long, n long, gap long, grams array<long>").dropDuplicates(["node"])
 
 
@@ -363,13 +366,14 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Groups of documents connected by n-gram Jaccard links.
 
     Returns one row per input row: (``doc_id``, ``n_shingles``, ``component_id``,
-    ``class_size``, ``text_key``: a hash of the text). Two documents link when 100 * intersection >= percent * union of
+    ``class_size``, ``text_key``: a hash of the text, ``group_key``: one value for all
+    rows of a group, with or without ids; NULL for an empty set). Two documents link when 100 * intersection >= percent * union of
     their sets of distinct ``k``-word n-grams; ``component_id`` is the smallest id
     reachable. A text of 1..k-1 words has its whole sequence as its only n-gram.
 
     NULL, empty and blank texts have an empty set and link with nothing. Rows
-    that repeat an id are documents of their own; a row with a NULL id takes the
-    component's smallest id (NULL if it is alone). Ties cannot arise. Other
+    that repeat an id are documents of their own; a row with a NULL id links like any
+    other and takes the component's smallest id (NULL if that has none). Ties cannot arise. Other
     columns of ``docs`` are ignored, whatever their names. An empty table gives
     an empty result.
 
@@ -381,12 +385,13 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     total = fp.agg(F.sum("n")).first()[0] or 0
     n_frag = max(8, math.ceil(total / fragment_grams))
     classes = (fp.where("n > 0").groupBy("f1", "f2", "n")
-               .agg(F.min("doc_id").alias("low"), F.count("*").alias("class_size")))
+               .agg(F.min("doc_id").alias("low"), F.count("*").alias("class_size"),
+                    F.coalesce(F.min_by("text_key", "doc_id"), F.min("text_key")).alias("text_key")))
     credit = shared_counts(src, k, n_frag)
-    # a class is named by f1; ids are only needed to find one of its texts again
-    keep = staged(classes.where("low is not null").join(credit, "f1")
+    # a class is named by f1; id and text hash are only needed to find one of its texts again
+    keep = staged(classes.join(credit, "f1")
                   .where(F.lit(100) * F.col("credit") >= F.lit(percent) * F.col("n"))
-                  .select(F.col("low").alias("doc_id"), "f1", "f2",
+                  .select(F.col("low").alias("doc_id"), "text_key", "f1", "f2",
                           F.greatest(F.lit(0), F.col("n") - F.col("credit")).alias("gap")))
     sets = staged(_class_sets(src, keep, k))
     segments = staged(_segments(sets, n_segments))
@@ -399,11 +404,12 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "root", F.coalesce("root", "f1"))
     named = staged(named.select("f1", "f2", "n", "low", "class_size", "root"))
     best = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = named.join(best, "root").select("f1", "f2", "class_size", F.col("component_id").alias("_c"))
+    label = named.join(best, "root").select("f1", "f2", "class_size", "root", F.col("component_id").alias("_c"))
     out = fp.join(label, ["f1", "f2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.coalesce("_c", "doc_id").alias("component_id"),
-                      F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), "text_key")
+                      F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), "text_key",
+                      F.col("root").alias("group_key"))
 
 
 def _segments(sets: DataFrame, n_segments: int) -> DataFrame:
@@ -432,9 +438,14 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one with the smallest id. Only ids and text hashes of leaving documents travel,
     not texts. Rows that repeat id and text stay once; rows that repeat an id with
     another text are documents of their own; a row without an id leaves if it links
-    with one that has an id."""
+    with one that has an id; of a group without any id the text of the smallest hash
+    stays, once."""
     found = staged(ngram_jaccard_join(docs, id_col, text_col, **options))
-    gone = staged(found.where("doc_id <> component_id or (doc_id is null and component_id is not null)")
+    nameless = (found.where("component_id is null and group_key is not null").groupBy("group_key")
+                .agg(F.min("text_key").alias("_first")).select(F.col("group_key").alias("_group"), "_first"))
+    found = found.join(small(staged(nameless)), F.col("group_key") == F.col("_group"), "left")
+    gone = staged(found.where("doc_id <> component_id or (doc_id is null and component_id is not null) "
+                              "or (component_id is null and text_key <> _first)")
                   .select(F.col("doc_id").alias("_gi"), F.col("text_key").alias("_gk")).distinct())
     again = staged(found.groupBy("doc_id", "text_key").count().where("count > 1")
                    .select(F.col("doc_id").alias("_ai"), F.col("text_key").alias("_ak")))

@@ -37,7 +37,7 @@ def brute(docs, k=5, percent=80):
                 up[root(i)] = root(j)
     low = {}
     for i, (d, _) in enumerate(docs):
-        low[root(i)] = min(low.get(root(i), d), d)
+        low[root(i)] = min((x for x in (low.get(root(i)), d) if x is not None), default=None)
     return [(d, len(sets[i]), low[root(i)]) for i, (d, _) in enumerate(docs)]
 
 
@@ -113,3 +113,29 @@ def test_kernel_words_and_shingles():
         assert [seen[i] for i in range(len(texts))] == [len(grams(t)) for t in texts]
     x = [w for _, _, w in K.word_blocks(pa.array(["Foo bar", "foo BAR"]))][0]
     assert (x.hash[:2] == x.hash[2:]).all()
+
+
+def edited(base, *places):
+    w = list(base)
+    for p in places:
+        w[p] = f"new{p}"
+    return w
+
+
+def test_rows_without_an_id_link_and_bridge(spark):
+    """A pair of near copies, one without an id; a bridge without an id between two
+    texts that do not link themselves; a group without any id."""
+    rng = random.Random(9)
+    a, b, c = (words(rng, 100, 5000) for _ in range(3))
+    docs = [(5, a), (None, edited(a, 3)), (10, edited(b, 3, 20)), (None, b), (11, edited(b, 60, 80)),
+            (None, c), (None, edited(c, 50)), (None, c), (40, words(rng, 50, 5000)), (None, words(rng, 50, 5000))]
+    docs = [(d, " ".join(t)) for d, t in docs] + [(None, None), (None, "")]
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in docs], DOCS)
+    got = J.ngram_jaccard_join(df, fragment_grams=200)
+    want = brute(docs)
+    assert {(5, 5), (10, 10), (11, 10)} <= {(d, c) for d, _, c in want}
+    assert sorted(map(str, rows(got, "doc_id", "n_shingles", "component_id"))) == sorted(map(str, want))
+    kept = rows(J.one_per_group(df), "doc_id", "text")
+    of_c = [t for d, t in kept if d is None and t in {docs[5][1], docs[6][1]}]
+    rest = sorted([docs[0], docs[2], docs[8], docs[9], docs[10], docs[11]], key=str)
+    assert len(of_c) == 1 and sorted([r for r in kept if r[1] not in of_c], key=str) == rest
