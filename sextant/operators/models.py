@@ -16,7 +16,6 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression, Multil
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from ..functions.hashing import hash32
 from .augment import _partner
 from .evaluate import accuracy_at, best_threshold, roc_auc, threshold_sweep
 from .folds import fold_of
+from .isotonic import calibration_curves, mean_value, own_fold_value
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -126,24 +126,16 @@ def stack_logistic(wide: DataFrame, id_col: str, label: str, inputs: Sequence[st
 
 def isotonic_calibration(df: DataFrame, id_col: str, prob: str, label: str, k: int = 5,
                          seed: int = 42, apply_to: DataFrame | None = None) -> DataFrame:
-    """Fold-wise isotonic calibration: each fold is calibrated by a fit on the
-    other folds; ``apply_to`` rows get the mean of the k fits. Predictions
-    outside the fitted range are clipped to the end values."""
-    base = df.select(id_col, prob, F.col(label).cast("double").alias("_y"),
-                     fold_of(id_col, seed, k).alias("_fold")).persist()
-    parts = []
-    for f in range(k):
-        iso = IsotonicRegression(featuresCol=prob, labelCol="_y", predictionCol="cal", isotonic=True)
-        model = iso.fit(base.where(F.col("_fold") != f))
-        parts.append(model.transform(base.where(F.col("_fold") == f)).select(
-            id_col, "cal", F.lit("oof").alias("kind"), F.lit(f).alias("fold")))
-        if apply_to is not None:
-            parts.append(model.transform(apply_to.select(id_col, prob)).select(
-                id_col, "cal", F.lit("apply").alias("kind"), F.lit(f).alias("fold")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy(id_col, "kind").agg(F.avg("cal").alias("cal_prob"))
+    """Fold-wise isotonic calibration (``operators.isotonic``): each fold, stratified by
+    label, is calibrated by the curve of the other folds; ``apply_to`` rows get the mean
+    of the k curves. Scores outside a curve get its end values, NULL scores NULL."""
+    rows, curves = calibration_curves(df, id_col, prob, label, k, seed)
+    out = rows.select(id_col, F.lit("oof").alias("kind"),
+                      own_fold_value(F.col("_x"), F.col("fold"), curves).alias("cal_prob"))
+    if apply_to is not None:
+        out = out.unionByName(apply_to.select(id_col, F.lit("apply").alias("kind"),
+                                              mean_value(F.col(prob), curves).alias("cal_prob")))
+    return out
 
 
 def random_search(train: DataFrame, id_col: str, label: str, features: Sequence[str],
