@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .folds import exact_stratified_folds
 
 BLOCK = "fit int, lo double, hi double, s double, n double"
@@ -52,6 +53,7 @@ def _pooled(batches):
 def fit_curves(points: DataFrame) -> dict[int, list[tuple[float, float]]]:
     """{fit: curve} from (fit, x, s, n): per fit and distinct score the sum of labels and
     the number of rows."""
+    ship(points.sparkSession)
     ranges = (points.select(F.col("fit").cast("int").alias("fit"), F.col("x").cast("double").alias("lo"),
                             F.col("x").cast("double").alias("hi"), F.col("s").cast("double").alias("s"),
                             F.col("n").cast("double").alias("n"))

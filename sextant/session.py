@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -99,3 +101,27 @@ def release_caches(spark: SparkSession) -> None:
     session calls this between independent jobs. Results stay correct if a
     cache is dropped early: Spark recomputes it from its lineage."""
     spark.catalog.clearCache()
+
+
+_SHIPPED: set[str] = set()
+_SHIPPING = threading.Lock()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application, so that
+    functions run in tasks can import it wherever the workers start."""
+    sc = spark.sparkContext
+    with _SHIPPING:
+        if sc.applicationId in _SHIPPED:
+            return spark
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(root)}.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(root):
+                for f in names:
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return spark
