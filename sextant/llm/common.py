@@ -4,16 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import functools
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, ship  # noqa: F401
 from ..sources.tables import read_table
 
 #: Largest side that is sent to every task by an explicit broadcast, in rows of a
@@ -70,27 +67,6 @@ def trimmed(run):
     return wrapped
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the Python workers, once per application, so that
-    functions run in tasks can import it wherever the workers start."""
-    sc = spark.sparkContext
-    if sc.applicationId not in _SHIPPED:
-        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(root)}.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for folder, _, names in os.walk(root):
-                for f in names:
-                    if f.endswith(".py"):
-                        full = os.path.join(folder, f)
-                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
-        sc.addPyFile(path)
-        _SHIPPED.add(sc.applicationId)
-    return spark
-
-
 def crc_mod(id_col: str, mod: int):
     """crc32 of the id as text, modulo ``mod``; NULL for a NULL id."""
     return F.crc32(F.col(id_col).cast("string")) % F.lit(mod)
