@@ -8,7 +8,7 @@ one lookup that AQE can broadcast or skew-split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .stats import attach_global, global_label_mean, group_size_table, label_stats_table, lookup
@@ -122,3 +122,36 @@ def group_consistency(df: DataFrame, key: str, prob: str, locked: str | None = N
 
 def group_size_features(df: DataFrame, key: str, size_col: str = "group_size") -> DataFrame:
     return lookup(df, group_size_table(df, key, size_col), key)
+
+
+def member_features(df: DataFrame, key: str, order: str, id_col: str, value: str, n_chunks: int = 64) -> DataFrame:
+    """Per row: ``member_rank`` in its group by (``order``, ``id_col``), NULL first,
+    ``group_size``, ``is_first``, ``is_last``, and mean, population standard deviation
+    and range of ``value`` in the group.
+
+    The rank is a two-level prefix sum: ``order`` is cut at approximate quantiles of the
+    whole table, a row's rank is the group's rows in earlier chunks plus its place in
+    its own, so a group of a third of the rows is ranked by many tasks (rows of one
+    ``order`` value stay together). NULL is a group; results do not depend on
+    ``n_chunks``."""
+    times = df.select(order).dtypes[0][1] in ("date", "timestamp", "timestamp_ntz")
+    numeric = (F.col(order).cast("timestamp") if times else F.col(order)).cast("double")
+    grid = [k / n_chunks for k in range(1, n_chunks)]
+    cuts = df.agg(F.array_distinct(F.percentile_approx(numeric, grid, 100 * n_chunks)).alias("_cuts"))
+    rows = attach_global(df.withColumn("_o", numeric), cuts).withColumn(
+        "_chunk", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_o"))), F.lit(0)) + F.col("_o").isNotNull().cast("int"))
+    rows = rows.drop("_cuts")
+    counts = rows.groupBy(F.col(key).alias("_k"), F.col("_chunk").alias("_c")).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_k").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_k", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(F.col("_o").asc_nulls_first(), id_col))
+    ranked = rows.withColumn("_place", place).join(
+        starts, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_chunk") == F.col("_c")))
+    ranked = ranked.withColumn("member_rank", (F.col("_start") + F.col("_place")).cast("long")).drop(
+        "_k", "_c", "_chunk", "_o", "_start", "_place")
+    stats = df.groupBy(F.col(key).alias("_g")).agg(
+        F.count("*").alias("group_size"), F.avg(value).alias("group_mean"), F.stddev_pop(value).alias("group_std"),
+        (F.max(value) - F.min(value)).alias("group_range"))
+    out = ranked.join(stats, F.col(key).eqNullSafe(F.col("_g"))).drop("_g")
+    return (out.withColumn("is_first", (F.col("member_rank") == 1).cast("int"))
+            .withColumn("is_last", (F.col("member_rank") == F.col("group_size")).cast("int")))

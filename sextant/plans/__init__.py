@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import amount_queries, blend_queries, crossfit_queries, model_queries, orders_queries, score_queries, table_queries  # noqa: F401
+from . import amount_queries, blend_queries, crossfit_queries, model_queries, orders_queries, score_queries, stage_queries, table_queries  # noqa: F401
 from .base import REGISTRY
 
 

@@ -71,3 +71,24 @@ def write_predictions(df: DataFrame, path: str, key: str, label: str, fmt: str =
         out.write.mode("overwrite").option("header", "true").csv(path)
     else:
         out.write.mode("overwrite").parquet(path)
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
+                     bad: str = "_bad") -> DataFrame:
+    """``read_csv`` with one more column, ``bad``: the raw line of a row that does not
+    fit the schema (its other columns hold what could be parsed), NULL for good rows.
+    No row is lost."""
+    fields = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields
+    full = T.StructType([*fields, T.StructField(bad, T.StringType())])
+    rows = nan_to_null(spark.read.schema(full).option("header", str(header).lower()).option("mode", "PERMISSIVE")
+                       .option("columnNameOfCorruptRecord", bad).option("nanValue", "NaN").csv(path))
+    # a scan parses only the fields it is asked for: ask for all wherever ``bad`` is used
+    every = F.xxhash64(*[F.col(f.name) for f in fields]) <= F.lit((1 << 63) - 1)
+    return rows.withColumn(bad, F.when(every, F.col(bad)))
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """Write ``df`` into a partitioned stage table: partitions that it holds are replaced,
+    others stay (a run written again does not touch its neighbours). Returns the table."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    return df.sparkSession.read.parquet(path)

@@ -80,3 +80,30 @@ def test_oof_target_encoding_on_hot_key(hot):
         s = tot.loc[k, "sum"] - own.loc[(k, f), "sum"]
         n = tot.loc[k, "count"] - own.loc[(k, f), "count"]
         assert got[i] == pytest.approx((s + 10 * 0.5) / (n + 10))
+
+
+def test_member_features_of_a_hot_group(spark):
+    """A group of a third of the rows, NULL groups and order values, ties: the same ranks
+    for any number of chunks, and no chunk of the hot group near its size."""
+    from pyspark.sql import functions as F
+
+    from sextant.operators.groups import member_features
+    df = spark.range(900).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("grp"),
+                                 F.when(F.col("id") % 17 > 0, (F.col("id") * 37 % 301).cast("double")).alias("t"),
+                                 (F.col("id") % 7).cast("double").alias("v"))
+    df = df.withColumn("grp", F.when(F.col("id") % 45 > 0, F.col("grp")).otherwise(F.lit(-1)))
+    rows = df.collect()
+    want = {}
+    for g in {r.grp for r in rows}:
+        mine = sorted((r for r in rows if r.grp == g), key=lambda r: (r.t is not None, r.t or 0, r.id))
+        v = [r.v for r in mine]
+        mean = sum(v) / len(v)
+        std = (sum((x - mean) ** 2 for x in v) / len(v)) ** 0.5
+        want |= {r.id: (i + 1, len(mine), int(i == 0), int(i + 1 == len(mine)), round(mean, 6), round(std, 6), max(v) - min(v))
+                 for i, r in enumerate(mine)}
+    for n in (1, 5, 200):
+        out = member_features(df, "grp", "t", "id", "v", n)
+        got = {r.id: (r.member_rank, r.group_size, r.is_first, r.is_last, round(r.group_mean, 6), round(r.group_std, 6), r.group_range)
+               for r in out.collect()}
+        assert got == want
+    assert member_features(df.where("id < 0"), "grp", "t", "id", "v").count() == 0

@@ -5,7 +5,8 @@ import tempfile
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sextant.sources.tables import read_csv, read_stage_models, write_predictions, write_stage
+from sextant.sources.tables import (read_csv, read_csv_checked, read_stage_models, replace_partitions, write_predictions,
+                                    write_stage)
 
 SCHEMA = T.StructType([
     T.StructField("PassengerId", T.StringType(), False),
@@ -43,3 +44,20 @@ def test_stage_tables_and_sink(spark):
     write_predictions(sel.groupBy("id").agg((F.avg("prob") >= 0.5).alias("Transported")), out, "id", "Transported")
     got = spark.read.option("header", "true").csv(out).orderBy("id").collect()
     assert [(r["id"], r["Transported"]) for r in got] == [("1", "false"), ("2", "true")]
+
+
+def test_bad_rows_are_kept_and_partitions_replaced(spark):
+    d = tempfile.mkdtemp(prefix="sextant-csv-")
+    with open(os.path.join(d, "x.csv"), "w") as f:
+        f.write("a,b,c\n1,NaN,true\nx2,2.5,false\n3,oops,true\n,,\n4,1.0,true,more\n")
+    df = read_csv_checked(spark, os.path.join(d, "x.csv"), "a bigint, b double, c boolean")
+    rows = [tuple(r) for r in df.collect()]
+    assert rows[0] == (1, None, True, None) and rows[3] == (None, None, None, None)
+    assert [r[3] for r in rows if r[3]] == ["x2,2.5,false", "3,oops,true", "4,1.0,true,more"]
+    assert rows[1][1] == 2.5 and rows[2][0] == 3
+    assert df.groupBy(F.col("_bad").isNotNull().alias("x")).count().where("x").first()["count"] == 3
+    path = os.path.join(d, "runs")
+    first = spark.createDataFrame([(1, 0, 0.1), (2, 0, 0.2), (1, 1, 0.3), (2, 1, 0.4)], "id int, run int, prob double")
+    replace_partitions(first, path, ["run"])
+    out = replace_partitions(spark.createDataFrame([(2, 1, 0.9), (5, 2, 0.5)], "id int, run int, prob double"), path, ["run"])
+    assert sorted(tuple(r) for r in out.select("id", "run", "prob").collect()) == [(1, 0, 0.1), (2, 0, 0.2), (2, 1, 0.9), (5, 2, 0.5)]
