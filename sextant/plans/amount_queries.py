@@ -99,7 +99,8 @@ def impute_amounts(spark, sf):
 
 # P11 / P12 ------------------------------------------------------------------
 @query("interaction_features", sql=W + f"""
-, x AS (SELECT user_id, a_view, (user_id % 4 = 1) AS dormant, {_sql_sum(AMOUNTS)} AS total FROM e5)
+, x AS (SELECT user_id, a_view, (user_id % 4 = 1) AS dormant,
+  CASE WHEN user_id % 8 IN (1, 2) THEN 0.0 ELSE {_sql_sum(AMOUNTS)} END AS total FROM e5)
 SELECT user_id, round(a_view * ln(1 + total), 4) AS view_x_log_total,
        CAST(dormant AND total = 0 AS INTEGER) AS dormant_no_spend,
        CAST(NOT dormant AND total > 0 AS INTEGER) AS active_has_spend
@@ -107,7 +108,7 @@ FROM x""")
 def interaction_features(spark, sf):
     e = amounts_view(spark, sf)
     x = e.select("user_id", "a_view", (F.col("user_id") % 4 == 1).alias("dormant"),
-                 row_sum(AMOUNTS).alias("total"))
+                 F.when((F.col("user_id") % 8).isin(1, 2), F.lit(0.0)).otherwise(row_sum(AMOUNTS)).alias("total"))
     return x.select("user_id", rnd(F.col("a_view") * F.log1p("total"), 4).alias("view_x_log_total"),
                     flag(F.col("dormant") & (F.col("total") == 0)).alias("dormant_no_spend"),
                     flag(~F.col("dormant") & (F.col("total") > 0)).alias("active_has_spend"))

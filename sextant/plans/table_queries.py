@@ -45,14 +45,18 @@ SELECT 'customer' AS source, c_custkey AS key, TRY_CAST(split_part(c_name, '#',
        TRY_CAST(split_part(c_name, '#', 2) AS BIGINT) AS key_member FROM customer
 UNION ALL
 SELECT 'part', p_partkey, TRY_CAST(split_part(p_brand, '#', 1) AS BIGINT),
-       TRY_CAST(split_part(p_brand, '#', 2) AS BIGINT) FROM part""")
+       TRY_CAST(split_part(p_brand, '#', 2) AS BIGINT) FROM part
+UNION ALL
+SELECT 'order', o_orderkey, o_custkey, o_orderkey FROM orders""")
 def split_composite_key_q(spark, sf):
     c = read_table(spark, sf, "customer").select(F.lit("customer").alias("source"),
                                                   F.col("c_custkey").alias("key"), F.col("c_name").alias("_k"))
     p = read_table(spark, sf, "part").select(F.lit("part").alias("source"),
                                               F.col("p_partkey").alias("key"), F.col("p_brand").alias("_k"))
+    o = read_table(spark, sf, "orders").select(F.lit("order").alias("source"), F.col("o_orderkey").alias("key"),
+                                               F.concat_ws("#", "o_custkey", "o_orderkey").alias("_k"))
     g, m = split_composite_key("_k", "#")
-    return c.unionByName(p).select("source", "key", g.alias("key_group"), m.alias("key_member"))
+    return c.unionByName(p).unionByName(o).select("source", "key", g.alias("key_group"), m.alias("key_member"))
 
 
 # P2 -------------------------------------------------------------------------
