@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from .common import ship
 from .textkernel import mix64
 
-_EPS = 1e-9
+#: relative error of an inner product per component, with room to spare
+_EPS = 1e-15
 
 
 class VantageTree:
@@ -78,6 +79,9 @@ def search(q_ids, q, ids, x, k: int, factor: float, max_norm: float, leaf: int =
     lift = np.sqrt(np.maximum(max_norm ** 2 - (x * x).sum(axis=1), 0))
     tree = VantageTree(np.c_[x, lift], mix64(ids.view(np.uint64)), leaf)
     base = (q * q).sum(axis=1) + max_norm ** 2       # distance^2 = base - 2 * inner product
+    # rounding of a score grows with both norms; of a distance with its root, where it is near 0
+    error = _EPS * (x.shape[1] + 4)
+    slack, room = error * np.sqrt((q * q).sum(axis=1)) * max_norm, 4 * np.sqrt(error * base)
     if tree.vantage:
         dist = np.sqrt(np.maximum(base[:, None] - 2 * (q @ x[tree.vantage].T), 0))
     else:
@@ -93,7 +97,7 @@ def search(q_ids, q, ids, x, k: int, factor: float, max_norm: float, leaf: int =
                 act = np.flatnonzero(seen == j)
             else:
                 reach = np.sqrt(np.maximum(base - 2 * np.where(np.isfinite(score[:, -1]), score[:, -1], -np.inf), 0))
-                act = np.flatnonzero((seen != j) & (low[:, j] * factor <= reach + _EPS))
+                act = np.flatnonzero((seen != j) & (low[:, j] * factor <= reach + room))
             for a in range(0, len(act), 1024):
                 some = act[a:a + 1024]
                 s = q[some] @ x[members].T
@@ -101,7 +105,7 @@ def search(q_ids, q, ids, x, k: int, factor: float, max_norm: float, leaf: int =
                 cut = score[some, -1]
                 if len(members) > k:
                     cut = np.maximum(cut, np.partition(s, len(members) - k, axis=1)[:, len(members) - k])
-                r, c = np.nonzero((s >= cut[:, None] - _EPS) & np.isfinite(s))
+                r, c = np.nonzero((s >= (cut - slack[some])[:, None]) & np.isfinite(s))
                 if not len(r):
                     continue
                 real = _exact(q[some[r]], x[members[c]])

@@ -31,6 +31,20 @@ def test_factor_one_is_exact(spark, copies):
     assert sorted((a, b, c, round(d, 9)) for a, b, c, d in rows(got, "query_id", "rank", "vec_id", "score")) == brute(x, 7)
 
 
+@pytest.mark.parametrize("norm", [1e-6, 1.0, 1e6, 1e9])
+def test_factor_one_is_exact_at_any_norm_with_copies(norm):
+    rng = np.random.default_rng(8)
+    x = norm * rng.normal(size=(3000, 24))
+    x[1::3] = x[0::3]                                       # copies, and close neighbours
+    x[2::9] = x[0::9] * (1 + 1e-9 * rng.normal(size=x[2::9].shape))
+    ids, at = rng.permutation(3000), np.arange(0, 3000, 20)
+    qi, ri, score = V.search(ids[at], x[at], ids, x, 20, 1.0, np.linalg.norm(x, axis=1).max() * (1 + 1e-12), leaf=64)
+    for i, a in enumerate(at):
+        real = V._exact(np.repeat(x[a:a + 1], 3000, axis=0), x)
+        want = [j for j in np.lexsort((ids, -real)) if j != a][:20]
+        assert ri[qi == i].tolist() == want and score[qi == i].tolist() == real[want].tolist()
+
+
 def test_relaxed_factor_keeps_recall():
     rng = np.random.default_rng(1)
     centre = rng.normal(size=(20, 16))
