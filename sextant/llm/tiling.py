@@ -6,17 +6,17 @@ tiled: the longest common run of words in which no word is taken yet is marked,
 again and again, until no run of ``min_match`` words is left. Each word of
 either side is in one tile at most, so coverage (marked share of the item) also
 finds an item whose sentences were put in another order, and does not count a
-repeated phrase twice. Runs come from the running Karp-Rabin hashes: equal
-windows next to each other on one diagonal are one longer match.
+repeated phrase twice. Common runs of any length come from running Karp-Rabin
+hashes; a phrase that repeats in both sides costs its length, not the product.
 
 The benchmark is the small side. Its words go to every task in blocks of at most
-``block_words`` words: a larger benchmark takes more passes over the documents,
-never a larger broadcast."""
+``block_words`` words, and each pass but the last is written: a larger benchmark
+takes more passes over the documents, never a larger broadcast."""
 
 from __future__ import annotations
 
-import heapq
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -47,35 +47,81 @@ def _windows(w: K.Words, k: int):
     return w.doc[at], at - first[w.doc[at]], acc[at]
 
 
-def tile(pairs: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (document word, item word, length) from the (document word,
-    item word) starts of all equal k-word windows. Longest first; ties to the
-    earlier place in the document, then in the item."""
-    diag = pairs[:, 0] - pairs[:, 1]
-    order = np.lexsort((pairs[:, 0], diag))
-    i, j, d = pairs[order, 0], pairs[order, 1], diag[order]
-    start = np.flatnonzero(np.r_[True, (np.diff(d) != 0) | (np.diff(i) != 1)])
-    size = np.diff(np.r_[start, len(i)]) + k - 1
-    heap = [(-int(n), int(i[s]), int(j[s])) for s, n in zip(start, size)]
-    heapq.heapify(heap)
-    in_doc, in_item, out = set(), set(), []
-    while heap:
-        n, a, b = heapq.heappop(heap)
-        n = -n
-        free = [a + t not in in_doc and b + t not in in_item for t in range(n)]
-        if all(free):
-            out.append((a, b, n))
-            in_doc.update(range(a, a + n))
-            in_item.update(range(b, b + n))
+_BASE = 0x9E3779B97F4A7C15
+_UNBASE = pow(_BASE, -1, 1 << 64)
+
+
+def _runs(places: np.ndarray, words: np.ndarray, size: int):
+    """(first place, running hash) of every run of ``size`` neighbouring places."""
+    n = len(places) - size + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        up = np.full(len(places), _BASE, dtype=np.uint64)
+        down = np.full(n, _UNBASE, dtype=np.uint64)
+        up[0] = down[0] = 1
+        total = np.r_[np.uint64(0), np.cumsum(words[places] * np.cumprod(up))]
+        h = (total[size:] - total[:n]) * np.cumprod(down)
+    at = np.flatnonzero(places[size - 1:] - places[:n] == size - 1)
+    return places[at], h[at]
+
+
+def tile(doc: np.ndarray, item: np.ndarray, k: int, free: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """Greedy tiles (document word, item word, length) of two arrays of word
+    hashes, none shorter than ``k``. Longest first; ties to the earlier place in
+    the document, then in the item. ``free``: the document's places to look at.
+
+    The longest run that both sides still have free is found by halving over its
+    length, each probe by running Karp-Rabin hashes; all tiles of that length are
+    marked in one pass. Memory is the length of both sides, also where one phrase
+    repeats in both."""
+    left, right = np.arange(len(doc)) if free is None else free, np.arange(len(item))
+    longest, out = min(len(left), len(right)), []
+    while True:
+        size, none = k - 1, longest + 1
+        while none - size > 1:
+            mid = (size + none) // 2
+            if np.isin(_runs(left, doc, mid)[1], _runs(right, item, mid)[1]).any():
+                size = mid
+            else:
+                none = mid
+        if size < k:
+            return out
+        tiles = _tiles_of(doc, item, left, right, size)
+        out += tiles
+        taken = np.arange(size)
+        left = np.setdiff1d(left, np.concatenate([a + taken for a, _, _ in tiles] or [taken[:0]]), True)
+        right = np.setdiff1d(right, np.concatenate([b + taken for _, b, _ in tiles] or [taken[:0]]), True)
+        longest = min(size - 1, len(left), len(right))
+
+
+def _tiles_of(doc, item, left, right, size: int) -> list[tuple[int, int, int]]:
+    """The tiles of ``size`` words, the greatest length there is."""
+    at, h = _runs(left, doc, size)
+    places, seeds = _runs(right, item, size)
+    order = np.lexsort((places, seeds))
+    places, seeds = places[order], seeds[order]
+    first, last = np.searchsorted(seeds, h, "left"), np.searchsorted(seeds, h, "right")
+    used = np.zeros(len(item), dtype=bool)
+    after, out = {}, []
+    end, waiting = -1, len(places)
+    for i in np.flatnonzero(last > first):
+        a, group, stop = int(at[i]), int(first[i]), int(last[i])
+        if a < end:
             continue
-        t = 0
-        while t < n:
-            u = t
-            while u < n and free[u]:
-                u += 1
-            if u - t >= k:
-                heapq.heappush(heap, (-(u - t), a + t, b + t))
-            t = u + 1
+        j = after.get(group, group)
+        # tiles of one length overlap only if one holds an end of the other
+        while j < stop and (used[places[j]] or used[places[j] + size - 1]):
+            j, waiting = j + 1, waiting - 1
+        after[group] = j
+        if j < stop:
+            b = int(places[j])
+            if np.array_equal(doc[a:a + size], item[b:b + size]):
+                used[b:b + size] = True
+                end = a + size
+                out.append((a, b, size))
+        elif not waiting:
+            break
     return out
 
 
@@ -84,13 +130,16 @@ class SeedIndex:
 
     def __init__(self, items: list[tuple[int, str]], k: int):
         self.k, self.ids = k, np.array([i for i, _ in items], dtype=np.int64)
-        h, item, at, self.words = [], [], [], np.zeros(len(items), dtype=np.int64)
+        h, item, at, self.words, text = [], [], [], np.zeros(len(items), dtype=np.int64), []
         for a, _, w in K.word_blocks(pa.array([t for _, t in items], pa.string())):
             d, p, x = _windows(w, k)
             h.append(x)
             item.append(d + a)
             at.append(p)
             self.words[a:a + w.n_docs] = w.per_doc
+            text.append(w.hash)
+        self.text = np.concatenate(text) if text else np.zeros(0, dtype=np.uint64)
+        self.first = np.cumsum(self.words) - self.words
         h = np.concatenate(h) if h else np.zeros(0, dtype=np.uint64)
         order = np.argsort(h, kind="stable")
         self.hash = h[order]
@@ -99,35 +148,49 @@ class SeedIndex:
         self.mask = np.zeros(1 << _BITS, dtype=bool)
         self.mask[(self.hash >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
-    def hits(self, w: K.Words):
-        """(document, item, document word, item word) of all equal windows."""
+    def seeds(self, w: K.Words):
+        """(document, first word, seed, places of the seed) of the windows that some item holds; documents ascend."""
         d, p, x = _windows(w, self.k)
         maybe = np.flatnonzero(self.mask[(x >> np.uint64(64 - _BITS)).astype(np.int64)])
         lo = np.searchsorted(self.hash, x[maybe], side="left")
         n = np.searchsorted(self.hash, x[maybe], side="right") - lo
-        maybe, lo, n = maybe[n > 0], lo[n > 0], n[n > 0]
-        src = np.repeat(maybe, n)
-        ref = np.repeat(lo, n) + np.arange(len(src)) - np.repeat(np.cumsum(n) - n, n)
-        return d[src], self.item[ref], p[src], self.at[ref]
+        hit = n > 0
+        return d[maybe][hit], p[maybe][hit], lo[hit], n[hit]
 
     def tilings(self, w: K.Words, threshold: float):
-        """(document, item, coverage, tiles) of the pairs that reach the threshold."""
-        d, item, p, q = self.hits(w)
+        """(document, item, coverage, tiles) of the pairs that reach the threshold.
+        One document at a time: a seed counts once however often the document
+        repeats it, so a document's work list is never longer than the index."""
+        d, p, seed, n = self.seeds(w)
         if not len(d):
             return
-        order = np.lexsort((p, item, d))
-        d, item, p, q = d[order], item[order], p[order], q[order]
-        edge = np.flatnonzero(np.r_[True, (np.diff(d) != 0) | (np.diff(item) != 0), True])
+        begin = np.cumsum(w.per_doc) - w.per_doc
+        edge = np.flatnonzero(np.r_[True, np.diff(d) != 0, True])
         for a, b in zip(edge[:-1], edge[1:]):
-            size = int(self.words[item[a]])
-            # every word of the item under some seed bounds the coverage
-            reach = np.unique((q[a:b, None] + np.arange(self.k)).ravel()).size
-            if reach < threshold * size:
-                continue
-            tiles = tile(np.c_[p[a:b], q[a:b]], self.k)
-            cover = sum(t[2] for t in tiles) / size
-            if cover >= threshold:
-                yield int(d[a]), int(item[a]), cover, tiles
+            doc = w.hash[begin[d[a]]:begin[d[a]] + w.per_doc[d[a]]]
+            own, one = np.unique(seed[a:b], return_index=True)
+            many = n[a:b][one]
+            ref = np.repeat(own, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            item, at, of = self.item[ref], self.at[ref], np.repeat(own, many)
+            order = np.lexsort((at, item))
+            item, at, of = item[order], at[order], of[order]
+            cut = np.flatnonzero(np.r_[True, np.diff(item) != 0, True])
+            for u, v in zip(cut[:-1], cut[1:]):
+                it = int(item[u])
+                size = int(self.words[it])
+                # every word of the item under some seed bounds the coverage
+                reach = np.minimum(np.diff(at[u:v]), self.k).sum() + self.k
+                if reach < threshold * size:
+                    continue
+                under = np.zeros(len(doc) + 1, dtype=np.int64)
+                mine = p[a:b][np.isin(seed[a:b], of[u:v])]
+                under[mine] += 1
+                under[mine + self.k] -= 1
+                text = self.text[self.first[it]:self.first[it] + size]
+                tiles = tile(doc, text, self.k, np.flatnonzero(np.cumsum(under[:-1])))
+                cover = sum(t[2] for t in tiles) / size
+                if cover >= threshold:
+                    yield int(d[a]), it, cover, tiles
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -158,8 +221,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
         return run
-    parts = [src.mapInArrow(trimmed(scan(index)), SCHEMA)
-             for index in _indexes(benchmark, item_col, item_text_col, min_match, block_words)]
+    parts = [src.mapInArrow(trimmed(scan(index)), SCHEMA) if last else staged(src.mapInArrow(trimmed(scan(index)), SCHEMA))
+             for index, last in _indexes(benchmark, item_col, item_text_col, min_match, block_words)]
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("item_id", F.when(F.col("item_id") != _NO_ID, F.col("item_id")))
 
@@ -180,28 +243,32 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                         keep[a + d] = False
                 yield batch.filter(pa.array(keep))
         return run
-    for index in _indexes(benchmark, item_col, item_text_col, min_match, block_words):
+    for index, last in _indexes(benchmark, item_col, item_text_col, min_match, block_words):
         docs = docs.mapInArrow(trimmed(scan(index)), docs.schema)
+        if not last:
+            docs = staged(docs)
     return docs
 
 
 _NO_ID = -(1 << 63)
 
 
-def _indexes(benchmark: DataFrame, item_col: str, item_text_col: str, min_match: int, block_words: int) -> list:
-    """Seed indexes over the blocks of the benchmark, one at least."""
+def _indexes(benchmark: DataFrame, item_col: str, item_text_col: str, min_match: int,
+             block_words: int) -> Iterator[tuple["SeedIndex", bool]]:
+    """(seed index of a block of the benchmark, is it the last), one at least. The
+    next block is read when the pass over this one is written, so neither the driver
+    nor a task ever holds two."""
     ship(benchmark.sparkSession)
     items = staged(benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                                     F.col(item_text_col).cast("string").alias("text"))
                    .withColumn("words", word_count("text")).where(F.col("words") >= min_match))
     total = items.agg(F.sum("words")).first()[0] or 0
     n_blocks = max(1, math.ceil(total / block_words))
-    out = []
     for b in range(n_blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b)
         rows = block.orderBy("item_id", "text").select("item_id", "text").collect()
-        out.append(SeedIndex([(_NO_ID if r.item_id is None else r.item_id, r.text) for r in rows], min_match))
-    return out
+        yield (SeedIndex([(_NO_ID if r.item_id is None else r.item_id, r.text) for r in rows], min_match),
+               b == n_blocks - 1)
 
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()),

@@ -3,10 +3,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import DOCS, clashing, edge_docs, rows, words
 
-from sextant.llm import langmix, licences, linetemplates, tiling, tokenfile, toxicity
+from sextant.llm import langmix, licences, linetemplates, textkernel, tiling, tokenfile, toxicity
 
 
 def crc(i):
@@ -114,7 +115,6 @@ def test_automaton_matches_edit_distance():
 
 def test_quotation_lowers_the_score():
     model = {"terms": [("nitwit", False)], "precision": {(0, 0): 0.9}, "rest": 0.01, "quoted": 0.5}
-    import pyarrow as pa
     col = pa.array(["you nitwit go away now", 'he said "nitwit" and left', "plain words"])
     score, hits, _ = toxicity._score_column(col, toxicity.Scanner(model["terms"]), model, 0.4)
     assert score[0] > score[1] > score[2] and hits.tolist() == [1, 1, 0]
@@ -138,6 +138,53 @@ def greedy_tiles(a, b, k):
         ua[i:i + n], ub[j:j + n], out = [True] * n, [True] * n, out + n
 
 
+def greedy_tile_list(a, b, k):
+    """The tiles of ``greedy_tiles``: longest first, ties to the earlier place in a, then in b."""
+    ua, ub, out = set(), set(), []
+    while True:
+        found = []
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while (i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]
+                       and i + n not in ua and j + n not in ub):
+                    n += 1
+                found.append((-n, i, j))
+        n, i, j = min(found)
+        if -n < k:
+            return out
+        ua.update(range(i, i - n))
+        ub.update(range(j, j - n))
+        out.append((i, j, -n))
+
+
+def test_tiles_of_repeating_texts_match_brute_force():
+    rng = random.Random(3)
+    for _ in range(150):
+        alphabet = rng.choice([1, 2, 3, 6])
+        a, b = ([rng.randrange(alphabet) for _ in range(rng.randrange(4, 40))] for _ in range(2))
+        got = tiling.tile(np.array(a, dtype=np.uint64) + 7, np.array(b, dtype=np.uint64) + 7, 3)
+        assert got == greedy_tile_list(a, b, 3)
+
+
+def test_tiling_of_one_repeated_word_costs_its_length(spark):
+    """200,000 times one word, or one phrase, against items of the same: neither crashes nor lists all pairs."""
+    import tracemalloc
+    items = [(1, "for " * 300), (2, "to be or not " * 80)]
+    index = tiling.SeedIndex(items, 5)
+    for i, text in ((0, "for " * 200_000), (1, "to be or not " * 50_000)):
+        w = next(iter(textkernel.word_blocks(pa.array([text]))))[2]
+        tracemalloc.start()
+        found = list(index.tilings(w, 0.5))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert [(d, it, c) for d, it, c, _ in found] == [(0, i, 1.0)] and peak < 100e6
+    df = spark.createDataFrame([(1, "for " * 40_000), (2, "for " * 3), (3, "for you " * 500)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert rows(tiling.contaminated(df, bench), "doc_id", "item_id") == [(1, 1)]
+    assert rows(tiling.drop_contaminated(df, bench, block_words=300), "doc_id") == [(2,), (3,)]
+
+
 def test_tiling_matches_brute_force(spark):
     rng = random.Random(11)
     items = [(i, words(rng, 24, 40)) for i in range(6)] + [(6, words(rng, 3)), (7, [])]
