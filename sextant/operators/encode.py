@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sparse_svd import truncated_svd
 from .stats import attach_global, global_label_mean, lookup
 
 
@@ -136,7 +137,7 @@ def _vocabulary(tf: DataFrame, docs: DataFrame, max_features: int | None, smooth
 
 
 def tfidf_terms(df: DataFrame, id_col: str, text_col: str, max_features: int | None = 1000,
-                smooth: bool = True) -> DataFrame:
+                smooth: bool = True, broadcast_terms: int = 100_000) -> DataFrame:
     """TF-IDF as a long table (id, term, tf, weight).
 
     lower-case; tokens = runs of >= 2 Unicode word characters; vocabulary =
@@ -147,8 +148,8 @@ def tfidf_terms(df: DataFrame, id_col: str, text_col: str, max_features: int | N
     per-document norm then run inside that partitioning with no further
     shuffle of document rows. The (doc, term) table is persisted because the
     vocabulary pass and the weighting pass both read it. The vocabulary is a
-    top-k of the term table; with ``max_features`` its size is bounded, so it
-    is broadcast."""
+    top-k of the term table; with ``max_features`` up to ``broadcast_terms`` its
+    size is bounded, so it is broadcast."""
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")).repartition("id")
     # split at runs of non-word characters and keep tokens of >= 2 characters:
     # the same tokens as extracting TOKEN_PATTERN, about a fifth cheaper
@@ -156,7 +157,7 @@ def tfidf_terms(df: DataFrame, id_col: str, text_col: str, max_features: int | N
                 .where(F.length("term") >= 2))
     tf = toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")).persist()
     vocab = _vocabulary(tf, df, max_features, smooth)
-    if max_features is not None:
+    if max_features is not None and max_features <= broadcast_terms:
         vocab = F.broadcast(vocab)      # at most max_features rows
     w = tf.join(vocab, "term").withColumn("_raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy("id")))
@@ -175,12 +176,14 @@ def standard_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> Data
     return out.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
 
 
-def text_svd(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_features: int = 1000,
+def text_svd(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_features: int | None = 1000,
              smooth: bool = True) -> DataFrame:
     """Uncentred truncated SVD of the TF-IDF matrix: (id, svd_0..k-1) = rows of
-    U * Sigma = A V, one row per document (zeros when it has no vocabulary term).
+    U * Sigma = A V, one row per document (zeros when it has no vocabulary term or no text).
 
-    Everything per document runs in the JVM:
+    Above 20,000 terms, or with ``max_features=None`` (every term), the
+    vocabulary stays distributed: ``sparse_svd.truncated_svd`` of the long
+    TF-IDF table. Up to that many terms everything per document runs in the JVM:
       * the vocabulary and idf (at most ``max_features`` terms, a fitted
         constant) come to the driver;
       * ``CountVectorizerModel`` over the token array, ``ElementwiseProduct``
@@ -199,9 +202,9 @@ def text_svd(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_features
     from pyspark.ml.stat import Correlation, Summarizer
 
     if max_features is None or max_features > 20_000:
-        # the vocabulary and its Gram matrix (max_features^2 doubles) live on the driver
-        raise ValueError("text_svd needs max_features <= 20000")
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")).repartition("id")
+        # a Gram matrix of max_features^2 doubles would not fit the driver
+        return _text_svd_distributed(df, id_col, text_col, k, max_features, smooth)
+    docs = df.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("_t")).repartition("id")
     toks = docs.select("id", F.explode(_token_array("_t")).alias("term"))
     tf = toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
     vocab = _vocabulary(tf, df, max_features, smooth).orderBy("term").collect()   # <= max_features rows
@@ -228,3 +231,15 @@ def text_svd(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_features
                         F.lit(0.0), lambda acc, t: acc + t).alias(names[j]) for j in range(v.shape[1])]
     dots += [F.lit(0.0).alias(c) for c in names[v.shape[1]:]]
     return x.select(F.col("id").alias(id_col), *dots)
+
+
+def _text_svd_distributed(df: DataFrame, id_col: str, text_col: str, k: int, max_features: int | None,
+                          smooth: bool) -> DataFrame:
+    """``text_svd`` without a limit on the vocabulary: no term leaves the tasks."""
+    entries = (tfidf_terms(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")), "id", "_t",
+                           max_features, smooth)
+               .select("id", "term", "weight"))
+    scores, _, _ = truncated_svd(entries, k, "id", "term", "weight")
+    out = df.select(F.col(id_col).alias("id")).join(scores, "id", "left")
+    return out.select(F.col("id").alias(id_col),
+                      *[F.coalesce(F.get("v", F.lit(j)), F.lit(0.0)).alias(f"svd_{j}") for j in range(k)])

@@ -154,6 +154,13 @@ def text_svd(spark, sf):
     return encode.text_svd(d, "doc_id", "text", 5, 1000)
 
 
+@query("text_svd_full")
+def text_svd_full(spark, sf):
+    """The same over every term of the corpus."""
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    return encode.text_svd(d, "doc_id", "text", 5, None)
+
+
 @query("blend_candidates_stacked")
 def blend_candidates_stacked(spark, sf):
     """The full candidate choice: logistic meta-blend over (trees, neural net)

@@ -279,12 +279,6 @@ def test_ordinal_codes_shared_prefix_and_partitioning(spark):
         assert got == want
 
 
-def test_text_svd_needs_bounded_vocabulary(spark):
-    df = spark.createDataFrame([(1, "red ring")], "id int, text string")
-    with pytest.raises(ValueError):
-        encode.text_svd(df, "id", "text", 2, max_features=None)
-
-
 def test_degenerate_inputs_give_null_not_errors(spark):
     one_class = spark.createDataFrame([(0.2, 1), (0.7, 1)], "p double, y int")
     assert evaluate.roc_auc(one_class, "p", "y").first()["auc"] is None
