@@ -194,3 +194,16 @@ def reliability_curve(df: DataFrame, prob: str, label: str, n_bins: int = 15) ->
     return df.groupBy(b.alias("bin")).agg(
         F.avg(prob).alias("mean_predicted"), F.avg(F.col(label).cast("double")).alias("fraction_positive"),
         F.count(F.lit(1)).alias("n"))
+
+
+def probability_histograms(df: DataFrame, scores: dict, by=(), bins: int = 30) -> DataFrame:
+    """Counts of each score column in even bins of [0, 1], per group: (model, *by, bin, n).
+
+    The last bin is closed; scores outside [0, 1] go to the nearest bin, NULL and NaN
+    scores are not counted. One scan and one partial aggregate for all scores."""
+    by = list(by)
+    long = df.select(*by, F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("p"))
+                                              for m, c in scores.items()])).alias("_s"))
+    place = F.least(F.greatest(F.floor(F.col("_s.p") * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
+    return (long.where(F.col("_s.p").isNotNull() & ~F.isnan("_s.p")).groupBy(F.col("_s.model").alias("model"), *by, place.alias("bin"))
+                .agg(F.count(F.lit(1)).alias("n")))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions.columns import argmax_name, flag, positive_count, row_entropy, row_sum, safe_divide
-from ..operators import encode, impute, profile
+from ..operators import encode, impute, profile, stats
 from ..sources.tables import read_table
 from .base import AMOUNTS, E5_CTE, EVENT_TYPES, amounts_view, dlit, query, rnd
 
@@ -36,6 +36,22 @@ def row_spend_features(spark, sf):
                     rnd(safe_divide("total", "n_positive")).alias("avg_per_used"))
 
 
+@query("group_spend_ratios", sql=W + f"""
+, x AS (SELECT user_id, seg, CASE WHEN user_id % 9 = 4 THEN 0.0 ELSE {_sql_sum(AMOUNTS)} END AS total FROM e5)
+, g AS (SELECT seg, count(*) AS n, sum(total) AS spend FROM x GROUP BY seg)
+SELECT x.user_id, g.n AS members, round(g.spend / CASE WHEN g.n = 0 THEN 1 ELSE g.n END, 3) AS per_member,
+       round(x.total / CASE WHEN g.n = 0 THEN 1 ELSE g.n END, 6) AS share_of_one
+FROM x LEFT JOIN g ON x.seg IS NOT DISTINCT FROM g.seg""")
+def group_spend_ratios(spark, sf):
+    """A group's spend per member, and a row's spend over the group's size; rows without a group are a group."""
+    e = amounts_view(spark, sf).withColumn("_key", F.coalesce(F.concat(F.lit("="), "seg"), F.lit("")))
+    x = e.select("user_id", "_key", F.when(F.col("user_id") % 9 == 4, 0.0).otherwise(row_sum(AMOUNTS)).alias("total"))
+    g = x.groupBy("_key").agg(F.count(F.lit(1)).alias("members"), F.sum("total").alias("_spend"))
+    x = stats.lookup(x, g, "_key")
+    return x.select("user_id", "members", rnd(safe_divide("_spend", "members"), 3).alias("per_member"),
+                    rnd(safe_divide("total", "members")).alias("share_of_one"))
+
+
 def _sql_entropy(cols):
     den = f"(CASE WHEN {_sql_sum(cols)} = 0 THEN 1.0 ELSE {_sql_sum(cols)} END)"
     terms = []

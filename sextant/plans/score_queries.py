@@ -266,6 +266,20 @@ def submission_variants(spark, sf):
     return long.select("variant", rnd("positive_rate").alias("positive_rate"), "n")
 
 
+@query("prediction_variants", sql=W + _BEST_AVG_SQL + _GC_SQL + """
+SELECT id, coalesce(locked, CAST(p_avg >= bt.t AS INTEGER)) = 1 AS no_group,
+       coalesce(locked, CAST(prob_adj >= bt.t AS INTEGER)) = 1 AS with_group, p_avg >= 0.5 AS raw
+FROM gc, bt""")
+def prediction_variants(spark, sf):
+    """The predictions themselves, one boolean column per variant."""
+    g = stats.attach_global(_group_adjusted(spark, sf), _best_avg_threshold(spark, sf))
+
+    def final(prob):
+        return F.coalesce(F.col("locked") == 1, F.col(prob) >= F.col("_t"))
+    return g.select("id", final("p_avg").alias("no_group"), final("prob_adj").alias("with_group"),
+                    (F.col("p_avg") >= 0.5).alias("raw"))
+
+
 # A18 ----------------------------------------------------------------------
 @query("prediction_source_rollup", sql=W + f"""
 , x AS (SELECT CASE WHEN {_RULE} THEN 'locked' ELSE 'model' END AS source FROM sa WHERE NOT is_train)
@@ -317,6 +331,16 @@ def reliability_curve(spark, sf):
                     rnd("fraction_positive").alias("fraction_positive"), "n")
 
 
+@query("probability_histograms", sql=W + f"""
+, l AS ({_MODEL_LONG_SQL})
+SELECT model, is_train, CAST(least(greatest(floor(p * 30), 0), 29) AS INTEGER) AS bin, count(*) AS n
+FROM l GROUP BY ALL""")
+def probability_histograms(spark, sf):
+    """Every model's scores in 30 even bins of [0, 1], labelled and unlabelled rows apart, from one scan."""
+    s = scores_view(spark, sf).select("is_train", *[f"p_{m}" for m in MODELS])
+    return evaluate.probability_histograms(s, {m: f"p_{m}" for m in MODELS}, ["is_train"], 30)
+
+
 # F7 -----------------------------------------------------------------------
 @query("pseudo_label_select", sql=W + """
 SELECT id, round(p_m1, 6) AS prob, CAST(p_m1 >= 0.5 AS INTEGER) AS pseudo_label
@@ -385,14 +409,14 @@ def group_swap(spark, sf):
 , l AS ({_MODEL_LONG_SQL})
 , f AS (SELECT l.*, s.seed, CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':' || CAST(s.seed AS VARCHAR)), 1, 8))
           AS UBIGINT) % 5 AS INTEGER) AS fold
-        FROM l, (SELECT unnest([{', '.join(str(x) for x in REPEAT_SEEDS[:2])}]) AS seed) s WHERE is_train)
+        FROM l, (SELECT unnest([{', '.join(str(x) for x in REPEAT_SEEDS)}]) AS seed) s WHERE is_train)
 , a AS (SELECT seed, fold, model, avg(CASE WHEN CAST(p >= 0.5 AS INTEGER) = y THEN 1.0 ELSE 0.0 END) AS acc
         FROM f GROUP BY ALL)
 SELECT seed, fold, model, round(acc, 6) AS accuracy, round(avg(acc) OVER (PARTITION BY model), 6) AS model_mean
 FROM a""")
 def model_fold_summary(spark, sf):
     lg = _long(spark, sf)
-    lg = folds.repeated_folds(lg, "id", REPEAT_SEEDS[:2], 5)
+    lg = folds.repeated_folds(lg, "id", REPEAT_SEEDS, 5)
     a = lg.groupBy("seed", "fold", "model").agg(evaluate.accuracy_at("prob", "label", 0.5).alias("acc"))
     mm = a.groupBy("model").agg(F.avg("acc").alias("_mm"))
     a = stats.lookup(a, mm, "model")

@@ -315,3 +315,11 @@ def test_auc_of_scores_in_a_narrow_range(spark):
     r = pdf["p"].rank()
     n1, n0 = pdf["y"].sum(), (1 - pdf["y"]).sum()
     assert got == pytest.approx((r[pdf["y"] == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0))
+
+
+def test_probability_histograms_edges_and_missing(spark):
+    rows = [(0.0, 1.0), (0.24, -0.5), (0.25, 1.5), (1.0, None), (None, float("nan"))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    got = {(r["model"], r["bin"]): r["n"] for r in evaluate.probability_histograms(df, {"A": "a", "B": "b"}, bins=4).collect()}
+    assert got == {("A", 0): 2, ("A", 1): 1, ("A", 3): 1, ("B", 0): 1, ("B", 3): 2}
+    assert evaluate.probability_histograms(df.where("false"), {"A": "a"}).count() == 0
