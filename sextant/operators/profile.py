@@ -82,10 +82,16 @@ def crosstab_pct(df: DataFrame, row: str, col: str, missing: str = "Missing") ->
     return counts.join(tot, row).withColumn("row_pct", F.col("n") * 100.0 / F.col("_rt")).drop("_rt")
 
 
-def pivot_mean(df: DataFrame, row: str, col: str, values: Sequence, target: str) -> DataFrame:
+def pivot_mean(df: DataFrame, row: str, col: str, values: Sequence | None, target: str,
+               missing: str | None = None) -> DataFrame:
     """Mean of ``target`` per (row, col), pivoted with an explicit value list
-    (no extra job to discover the values)."""
-    return df.groupBy(row).pivot(col, list(values)).agg(F.avg(target))
+    (no extra job to discover the values), or with ``values=None`` over every value
+    there is (one more job; Spark stops above ``spark.sql.pivotMaxValues``).
+    ``missing`` names the column of NULL values."""
+    if missing is not None:
+        df = df.withColumn(col, F.coalesce(F.col(col).cast("string"), F.lit(missing)))
+    grouped = df.groupBy(row)
+    return (grouped.pivot(col) if values is None else grouped.pivot(col, list(values))).agg(F.avg(target))
 
 
 def rate_by_category(df: DataFrame, cat: str, target: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import equal_width_code, infer_flag_from_amounts, rank_in_edges, flag
 from ..functions.hashing import hash32
-from ..operators import encode, folds, groups, impute, stats
+from ..operators import encode, folds, groups, impute, profile, stats
 from ..sources.tables import read_table
 from .base import O_CTE, orders_view, query, rnd, sql_hash32, train_test
 
@@ -516,3 +516,16 @@ def lookup_join_salted(spark, sf):
     join tasks), the path for hot keys without AQE's skew split."""
     o = orders_view(spark, sf).select("id", "grp")
     return stats.lookup(o, stats.group_size_table(o, "grp", "grp_size"), "grp", salt=8).select("id", "grp_size")
+
+
+# A7, every value and the missing ones ----------------------------------------
+_STATUS = ["F", "O", "P", "Missing"]
+
+
+@query("pivot_mean_all", sql=W + " SELECT cat, " + ", ".join(
+    f"round(avg(CASE WHEN coalesce(cat2_n, 'Missing') = '{v}' THEN num END), 3) AS {v}" for v in _STATUS) + """
+FROM o GROUP BY cat""")
+def pivot_mean_all(spark, sf):
+    o = orders_view(spark, sf).select("cat", "cat2_n", "num")
+    p = profile.pivot_mean(o, "cat", "cat2_n", None, "num", missing="Missing")
+    return p.select("cat", *[rnd(c, 3).alias(c) for c in sorted(set(p.columns) - {"cat"})])
