@@ -11,7 +11,8 @@ from .common import REGISTRY, documents, query
 from .convrepair import repair_damaged
 from .jaccard import ngram_jaccard_join
 from .langmix import identify_languages
-from .licences import TEMPLATES, TERM, scan_licences
+from .licence_texts import standard_templates
+from .licences import TERM, WINDOWS, scan_licences
 from .linetemplates import drop_recurring_lines
 from .mixing import mix_sources
 from .sharding import place
@@ -145,37 +146,41 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, folder, parts)
 
 
-_TPL = ", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TPL = ", ".join(f"({i}, {_quoted(name)}, {_quoted(text)})" for i, (name, text) in enumerate(standard_templates()))
+_SIZES = ", ".join(f"({size})" for size in WINDOWS)
 _TERMS = f"regexp_extract_all(translate({{0}}, '{UPPER}', '{LOWER}'), '{TERM}')"
-OP8_SQL = f"""WITH tpl(name, txt) AS (VALUES {_TPL}),
-tt AS (SELECT name, term, count(*) AS tf FROM (SELECT name, unnest({_TERMS.format("txt")}) AS term FROM tpl) GROUP BY ALL),
+OP8_SQL = f"""WITH tpl(tpl, name, txt) AS (VALUES {_TPL}),
+tt AS (SELECT tpl, name, term, count(*) AS tf FROM (SELECT tpl, name, unnest({_TERMS.format("txt")}) AS term FROM tpl) GROUP BY ALL),
 d AS (SELECT doc_id, coalesce(text, '') AS text,
         source || '/' || CAST(doc_id // 1000 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path FROM documents),
 n AS (SELECT count(*) AS n FROM d),
-df AS (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({_TERMS.format("text")}) AS term FROM d)
-       WHERE term IN (SELECT term FROM tt) GROUP BY term),
-idf AS (SELECT v.term, ln((1 + n) / (1 + coalesce(df, 0))::DOUBLE) + 1 AS w
-        FROM (SELECT DISTINCT term FROM tt) v CROSS JOIN n LEFT JOIN df USING (term)),
-tw AS (SELECT name, term, tf * w AS wt FROM tt JOIN idf USING (term)),
-tn AS (SELECT name, sqrt(sum(wt * wt)) AS nt FROM tw GROUP BY name),
-li AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM d),
-piece AS (SELECT doc_id, line, unnest({_TERMS.format("body")}) AS term FROM li
-          UNION ALL SELECT doc_id, 0, unnest({_TERMS.format("text")}) FROM d),
-ptf AS (SELECT doc_id, line, term, count(*) AS tf FROM piece GROUP BY ALL),
-pw AS (SELECT doc_id, line, p.term, tf * coalesce(w, ln(1 + n) + 1) AS w FROM ptf p CROSS JOIN n LEFT JOIN idf USING (term)),
-pn AS (SELECT doc_id, line, sqrt(sum(w * w)) AS nl FROM pw GROUP BY ALL),
-dot AS (SELECT doc_id, line, name, sum(w * wt) AS dot FROM pw JOIN tw USING (term) GROUP BY ALL),
-cs AS (SELECT doc_id, line, name, round(dot / (nl * nt), 9) AS cos FROM dot JOIN pn USING (doc_id, line) JOIN tn USING (name)),
-own AS (SELECT doc_id, name, cos AS score FROM cs WHERE line > 0 AND cos >= 0.7
+df AS (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({_TERMS.format("text")}) AS term FROM d) GROUP BY term),
+tw AS (SELECT tpl, name, term, tf * (ln((1 + n) / (1 + coalesce(df, 0))::DOUBLE) + 1) AS wt FROM tt CROSS JOIN n LEFT JOIN df USING (term)),
+tn AS (SELECT tpl, sqrt(sum(wt * wt)) AS nt FROM tw GROUP BY tpl),
+ls AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM d),
+wi AS (SELECT doc_id, size, ls, unnest(range(1, len(ls) - size + 2)) AS line FROM ls, (VALUES {_SIZES}) s(size)),
+piece AS (SELECT doc_id, size, line, unnest({_TERMS.format("array_to_string(ls[line:line + size - 1], chr(10))")}) AS term FROM wi
+          UNION ALL SELECT doc_id, 0, 0, unnest({_TERMS.format("text")}) FROM d),
+ptf AS (SELECT doc_id, size, line, term, count(*) AS tf FROM piece GROUP BY ALL),
+pw AS (SELECT doc_id, size, line, term, tf * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS w FROM ptf CROSS JOIN n JOIN df USING (term)),
+pn AS (SELECT doc_id, size, line, sqrt(sum(w * w)) AS nl FROM pw GROUP BY ALL),
+dot AS (SELECT doc_id, size, line, tpl, name, sum(w * wt) AS dot FROM pw JOIN tw USING (term) GROUP BY ALL),
+cs AS (SELECT doc_id, size, name, round(dot / (nl * nt), 9) AS cos FROM dot JOIN pn USING (doc_id, size, line) JOIN tn USING (tpl)),
+own AS (SELECT doc_id, name, cos AS score FROM cs WHERE cos >= 0.7
         QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cos DESC, name) = 1),
-files AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, o.name, c.cos FROM own o
-          JOIN cs c ON c.doc_id = o.doc_id AND c.name = o.name AND c.line = 0 AND c.cos >= 0.4 JOIN d ON d.doc_id = o.doc_id),
-dirs AS (SELECT dir, name, cos FROM files QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cos DESC, name) = 1),
-heir AS (SELECT d.doc_id, x.name, x.cos FROM d JOIN dirs x ON starts_with(d.path, x.dir || '/')
+whole AS (SELECT DISTINCT doc_id, name FROM cs WHERE size = 0 AND cos >= 0.4),
+files AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, name, score FROM own JOIN whole USING (doc_id, name) JOIN d USING (doc_id)
+          WHERE path IS NOT NULL),
+dirs AS (SELECT dir, name, score FROM files QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, name) = 1),
+heir AS (SELECT d.doc_id, x.name, x.score FROM d JOIN dirs x ON starts_with(d.path, x.dir || '/')
          QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY len(x.dir) DESC) = 1)
 SELECT d.doc_id, d.path, coalesce(o.name, h.name) AS licence,
   CASE WHEN o.name IS NOT NULL THEN 'own' WHEN h.name IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
-  coalesce(o.score, h.cos) AS score
+  coalesce(o.score, h.score) AS score
 FROM d LEFT JOIN own o USING (doc_id) LEFT JOIN heir h USING (doc_id)"""
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from cases import DOCS, clashing, edge_docs, rows, words
 
-from sextant.llm import langmix, licences, linetemplates, textkernel, tiling, tokenfile, toxicity
+from sextant.llm import langmix, licence_texts, licences, linetemplates, textkernel, tiling, tokenfile, toxicity
 
 
 def crc(i):
@@ -337,9 +337,9 @@ def test_token_files_round_trip(spark):
 
 
 def test_licences_and_inheritance(spark):
-    mit = licences.TEMPLATES["MIT"] + "."
+    mit = licence_texts.NOTICES["MIT"] + "."
     body = "some words of prose that say nothing at all about terms " * 5
-    docs = [("a/LICENSE", mit), ("a/b/x.txt", body), ("a/b/c/y.txt", body + "\n" + licences.TEMPLATES["Apache-2.0"]),
+    docs = [("a/LICENSE", mit), ("a/b/x.txt", body), ("a/b/c/y.txt", body + "\n" + licence_texts.NOTICES["Apache-2.0"]),
             ("a/b/d/LICENSE", "All rights reserved."), ("a/b/d/z.txt", body), ("q/w.txt", body), (None, body),
             (None, mit), ("a/null.txt", None), ("a/empty.txt", ""), ("a/b/x.txt", body)]
     df = clashing(spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(docs)], "doc_id long, path string, text string"))
@@ -350,3 +350,46 @@ def test_licences_and_inheritance(spark):
                  8: ("MIT", "inherited"), 9: ("MIT", "inherited"), 10: ("MIT", "inherited")}
     assert "Python" not in got._jdf.queryExecution().toString()
     assert licences.scan_licences(df.limit(0)).count() == 0
+
+
+def test_real_licence_texts(spark):
+    """Whole licences, headers between other lines, identifiers and openings are found in a
+    tree; prose about the same things is not."""
+    rng = random.Random(8)
+    prose = [" ".join(words(rng, 12)) for _ in range(400)]
+    texts = {}
+    for name, text in licence_texts.TEXTS:
+        texts.setdefault(name, []).append(text)
+    commented = "\n".join(" * " + line for line in texts["GPL-3.0"][0].split("\n"))
+    page = "\n".join(prose[:300])
+    tree = [
+        ("p/LICENSE", "MIT License\n\nCopyright (c) 2019 A. Author\n\n" + texts["MIT"][0], "MIT", "own"),
+        ("p/src/a.txt", prose[0], "MIT", "inherited"),
+        ("p/src/b.c", "/*\n" + commented + "\n */\n" + page, "GPL-3.0", "own"),
+        ("p/src/c.py", "# SPDX-License-Identifier: GPL-2.0-or-later\n" + page, "GPL-2.0", "own"),
+        ("p/src/d.py", "# SPDX-License-Identifier: Strange-1.0\n" + page, "MIT", "inherited"),
+        ("p/lib/COPYING", texts["LGPL-3.0"][1].replace("GNU Lesser", "GNU LESSER") + "\n\n" + page, "LGPL-3.0", "own"),
+        ("p/lib/deep/e.txt", prose[1], "LGPL-3.0", "inherited"),
+        ("q/apache.java", "// " + texts["Apache-2.0"][0].replace("\n", "\n// ") + "\n" + page, "Apache-2.0", "own"),
+        ("q/two.txt", texts["BSD-2-Clause"][0], "BSD-2-Clause", "own"),
+        ("r/three.txt", page + "\n" + texts["BSD-3-Clause"][0] + "\n" + page, "BSD-3-Clause", "own"),
+        ("r/mpl.js", "/* " + texts["MPL-2.0"][0] + " */\n" + page, "MPL-2.0", "own"),
+        ("r/near.txt", "The software was provided without much warning, and the rights of its users were limited.\n" + page, None, "none"),
+        ("r/near2.txt", "We asked who holds the copyright and whether a licence had been granted to any person.\n" + page, None, "none"),
+        ("r/long.txt", " ".join(prose) * 20, None, "none"),
+        ("s/other.txt", prose[2], None, "none"),
+    ]
+    # other documents make ordinary words ordinary
+    plain = [(f"z/{i}.txt", "the software and the rights of any person in this file\n" + prose[i], None, "none") for i in range(60)]
+    rows_ = [(i, p, t) for i, (p, t, _, _) in enumerate(tree + plain)]
+    got = {r.path: (r.licence, r.origin) for r in
+           licences.scan_licences(spark.createDataFrame(rows_, "doc_id long, path string, text string")).collect()}
+    # q/two.txt is a licence text as a whole, so its directory has a licence, but its neighbour has its own
+    assert got == {p: (lic, origin) for p, _, lic, origin in tree + plain}
+
+
+def test_licence_ties_go_to_the_first_name(spark):
+    same = [("zeta", "Use it as you like it"), ("alpha", "Use it as you like it")]
+    df = spark.createDataFrame([(1, "a", "Use it as you like it."), (None, "b", "other words")], "doc_id long, path string, text string")
+    got = rows(licences.scan_licences(df, templates=same), "doc_id", "licence", "origin")
+    assert set(got) == {(1, "alpha", "own"), (None, "alpha", "inherited")}
