@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from .stats import attach_global, percentile_table
 
 
+def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
+    """(value): the distinct values of a column in ascending order, NULL left out."""
+    return df.select(F.col(col).alias("value")).where("value IS NOT NULL").distinct().orderBy("value")
+
+
 def value_counts(df: DataFrame, col: str, missing: str | None = None) -> DataFrame:
     v = F.col(col) if missing is None else F.coalesce(F.col(col).cast("string"), F.lit(missing))
     counts = df.groupBy(v.alias(col)).agg(F.count(F.lit(1)).alias("n"))

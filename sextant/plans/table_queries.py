@@ -184,6 +184,12 @@ def value_counts(spark, sf):
     return v.select("l_returnflag", "n", rnd("share").alias("share"))
 
 
+# O4 -------------------------------------------------------------------------
+@query("distinct_sorted_values", sql="SELECT DISTINCT l_shipdate AS value FROM lineitem WHERE l_shipdate IS NOT NULL ORDER BY 1")
+def distinct_sorted_values(spark, sf):
+    return profile.distinct_sorted(read_table(spark, sf, "lineitem"), "l_shipdate")
+
+
 # A10 ------------------------------------------------------------------------
 _NR_COLS = ["l_discount", "l_tax", "l_quantity", "l_linestatus", "l_returnflag"]
 

@@ -323,3 +323,9 @@ def test_probability_histograms_edges_and_missing(spark):
     got = {(r["model"], r["bin"]): r["n"] for r in evaluate.probability_histograms(df, {"A": "a", "B": "b"}, bins=4).collect()}
     assert got == {("A", 0): 2, ("A", 1): 1, ("A", 3): 1, ("B", 0): 1, ("B", 3): 2}
     assert evaluate.probability_histograms(df.where("false"), {"A": "a"}).count() == 0
+
+
+def test_distinct_sorted(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("b",), ("C",)], "v string").repartition(4)
+    assert [r.value for r in profile.distinct_sorted(df, "v").collect()] == ["C", "a", "b"]
+    assert profile.distinct_sorted(df.limit(0), "v").count() == 0
