@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sextant.functions.hashing import uniform
 from sextant.operators import models
+from sextant.session import fit_tasks
 
 
 def test_pseudo_label_rounds_add_confident_rows_once(spark):
@@ -60,3 +61,19 @@ def test_permutation_importance_query(spark):
     from sextant.plans.model_queries import FEATURES, permutation_importance
     rows = permutation_importance(spark, "/root/testdata/sf0.001").collect()
     assert sorted(r.feature for r in rows) == sorted(FEATURES)
+
+
+def test_fold_runner_fits_in_few_tasks_and_keeps_columns(spark, monkeypatch):
+    seen, fit = [], models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    df = spark.range(300).select("id", uniform("id", seed=1).alias("x"), uniform("id", seed=2).alias("z"))
+    df = df.withColumn("y", (F.col("x") > 0.5).cast("int"))
+    most = fit_tasks(spark, 300)
+    tr, te = df.where("id % 3 > 0").repartition(4 * most), df.where("id % 3 = 0").repartition(3 * most)
+    preds = models.fold_runner(tr, "id", "y", ["x", "z"], lambda s, f: models.forest(s, numTrees=3, maxDepth=3), "m", [42], 2, te, keep=["y", "x"])
+    assert len(seen) == 2 and max(seen) <= most
+    assert preds.rdd.getNumPartitions() <= 2 * 2 * most
+    got = {(r.id, r.kind): r.y for r in preds.collect()}
+    want = {(r.id, "oof" if r.id % 3 else "apply"): r.y if r.id % 3 else None for r in df.collect()}
+    assert got == want
+    assert fit_tasks(spark, 10**9) == 1000
