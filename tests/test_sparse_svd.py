@@ -2,7 +2,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from sextant.functions.hashing import normal, normals
 from sextant.operators import encode, sparse_svd
 
 ENTRIES = "row long, column string, value double"
@@ -69,3 +71,51 @@ def test_text_svd_over_every_term(spark):
     assert set(got) == set(want) and len(got) == 43
     assert all(np.allclose(got[i], want[i], atol=1e-8) for i in got)
     assert got[40] == got[41] == got[42] == [0.0, 0.0, 0.0]
+
+
+def test_normals_in_a_task_equal_the_column(spark):
+    keys = ["red", "Ärger", "", "x:1"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select(*[normal("k", seed=f"42:{j}").alias(f"_{j}") for j in range(3)])
+    assert np.allclose(normals(keys, ["42:0", "42:1", "42:2"]), [list(r) for r in df.collect()], rtol=1e-13)
+
+
+def test_products_move_one_line_a_block_and_shared_column(spark, monkeypatch):
+    """Not one per entry: 3 blocks, 400 rows of 30 shared columns and one of their own."""
+    rows, sent, apply = [], [], sparse_svd._Dealt.apply
+    for i in range(400):
+        rows += [(i, f"c{j:02d}", 1.0 + ((i * 7 + j * 3) % 11)) for j in range(30)] + [(i, f"own{i}", 1.0)]
+    monkeypatch.setattr(sparse_svd._Dealt, "apply", lambda self, state, *rest: sent.append(state.count()) or apply(self, state, *rest))
+    df = spark.createDataFrame(rows, ENTRIES).repartition(3, "row")
+    scores, loadings, values = sparse_svd.block_svd(sparse_svd.pack(df, 10 ** 9), 3, iterations=2)
+    blocks = df.select(F.spark_partition_id()).distinct().count()
+    assert loadings.count() == 430 and scores.count() == 400
+    # the names of all columns; then rows, or rows and shared columns, of the left and right sides
+    assert sent == [400 + 30 * blocks, 400, 400 + 30 * blocks, 400, 400 + 30 * blocks, 400]
+    names = [f"c{j:02d}" for j in range(30)] + [f"own{i}" for i in range(400)]
+    assert np.allclose(values, np.linalg.svd(dense(rows, 400, names), compute_uv=False)[:3], rtol=1e-6)
+
+
+def test_blocks_are_cut_and_an_id_that_comes_twice_is_one_row(spark):
+    df = spark.createDataFrame([(i % 50, f"c{i % 13}", float(i)) for i in range(600)], ENTRIES).repartition(2, "row")
+    one, many = (sparse_svd.pack(df, n) for n in (10 ** 9, 20))
+    assert one.chunks.select("block").distinct().count() < many.chunks.select("block").distinct().count() or many.rows.count() == 50
+    a, b = (sparse_svd.block_svd(x, 2)[2] for x in (one, many))
+    assert np.allclose(a, b, rtol=1e-9)
+    texts = spark.createDataFrame([(1, "red ring"), (1, "red bolt"), (2, "blue bolt nut"), (3, "nut ring")], "id int, text string")
+    merged = spark.createDataFrame([(1, "red ring red bolt"), (2, "blue bolt nut"), (3, "nut ring")], "id int, text string")
+    blocks = [sorted((r["term"], r["_cf"], r["_df"]) for r in counts) for counts in (encode_counts(texts), encode_counts(merged))]
+    assert blocks[0] == blocks[1]
+
+
+def encode_counts(df):
+    seen, vocabulary = [], encode._vocabulary
+
+    def spy(counts, *rest):
+        seen.extend(counts.collect())
+        return vocabulary(counts, *rest)
+    encode._vocabulary = spy
+    try:
+        encode.text_svd(df, "id", "text", 2, None).count()
+    finally:
+        encode._vocabulary = vocabulary
+    return seen
