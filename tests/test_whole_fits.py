@@ -14,7 +14,7 @@ class Half(Model):
         return df.withColumn("prob", F.lit(0.5))
 
 
-@pytest.mark.parametrize("name", ["category_booster_oof", "mixup_oof", "perceptron_oof"])
+@pytest.mark.parametrize("name", ["category_booster_oof", "mixup_oof", "perceptron_oof", "extra_trees_oof"])
 def test_a_fit_sees_all_rows_outside_its_fold(spark, monkeypatch, name):
     seen, cross_fit = [], crossfit.cross_fit
 
