@@ -1,12 +1,12 @@
 """Truncated SVD of a sparse matrix held as a long table (row, column, value).
 
 A randomised range finder: a hash-normal test matrix with k + oversample columns,
-power iterations, orthonormal bases by a blockwise QR. The entries stay where they
-are: they are packed once into blocks of whole matrix rows, with columns numbered
-inside a block, and cached by block. A product sends a block one short array for each
-column it holds, or takes one back, never one for each entry; a column that only one
-block holds does not leave it. Only triangular blocks of (k + oversample)^2 numbers
-reach the driver."""
+power iterations, orthonormal bases by a blockwise QR. The entries are packed once into
+blocks of whole matrix rows, with columns numbered inside a block, and written. A product
+reads a block's file a chunk at a time, so that a task never holds its entries; it is
+sent one short array for each column of the block, or sends one back, never one for each
+entry; a column that only one block holds does not leave it. Only triangular blocks of
+(k + oversample)^2 numbers reach the driver."""
 
 from __future__ import annotations
 
@@ -17,6 +17,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from ..functions.hashing import normals
 from ..session import cut_lineage, ship
 
-BLOCK_ENTRIES = 48_000_000     # entries of a block: about 1 GB in a Python worker
-CHUNK_ENTRIES = 262_144        # entries multiplied at once
+BLOCK_ENTRIES = 48_000_000     # entries of a block
+CHUNK_ENTRIES = 262_144        # entries read and multiplied at once
 
 
 def _triangle(rows: np.ndarray, above: np.ndarray | None) -> np.ndarray:
@@ -197,20 +199,47 @@ def pack(table: DataFrame, block_entries: int = BLOCK_ENTRIES) -> Blocks:
                   raw.where("row IS NOT NULL").select("block", "at", "row"), cut_lineage(columns), places.select("block", "at", "column"))
 
 
+class _Chunks:
+    """The chunks of a block, from the file of the task that packed it."""
+
+    def __init__(self, files: dict[int, list[str]], key: int):
+        self.files, self.key = files.get(key >> 32, []), key
+
+    def read(self, names: list[str]) -> Iterator[tuple]:
+        for uri in self.files:
+            where, path = fs.FileSystem.from_uri(uri)
+            # buffered: a row group of the file is not held at once
+            with where.open_input_file(path) as stream, pq.ParquetFile(stream, buffer_size=1 << 20, pre_buffer=False) as file:
+                at = file.schema_arrow.names.index("form")        # short in every chunk: it always has statistics
+                for group in range(file.num_row_groups):
+                    known = file.metadata.row_group(group).column(at).statistics
+                    left = known.num_values if known is not None else file.metadata.row_group(group).num_rows
+                    if not left:
+                        continue                       # names of rows and columns only
+                    for batch in file.iter_batches(4, row_groups=[group], columns=["block", "lens", *names]):
+                        mine = pc.is_valid(batch.column("lens"))
+                        left -= mine.true_count
+                        batch = batch.filter(pc.and_(mine, pc.equal(batch.column("block"), self.key)))
+                        yield from zip(*(batch.column(c) for c in names))
+                        if left <= 0:
+                            break                      # the rest of the group are names
+
+    def entries(self) -> Iterator[tuple]:
+        """Rows, entries of each, columns, entries as numbers of those columns, values."""
+        for *whole, cols, vals, form in self.read(["rows", "lens", "names", "cols", "vals", "form"]):
+            forms = form.as_py().split()
+            yield tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip([*whole, cols, vals], [np.int32, np.int32, np.int32, *forms]))
+
+
 class _Matrix:
-    """One block in a task."""
-
-    def __init__(self, table: pa.Table, unit: bool):
-        mine = pc.is_valid(table.column("cols"))
-        marks = table.filter(pc.invert(mine)).select(["at", "c", "scale", "shared"])
-        self.chunks = []      # rows, entries of each, columns, entries as numbers of those columns, values
-        for part in table.filter(mine).select(["rows", "lens", "names", "cols", "vals", "form"]).to_batches():
-            for *whole, cols, vals, form in zip(*part.columns):
-                forms = form.as_py().split()
-                self.chunks.append(tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip(
-                    [*whole, cols, vals], [np.int32, np.int32, np.int32, *forms])))
-        n = 1 + max((int(x[2].max()) for x in self.chunks), default=-1)
-        self.height = 1 + max((int(x[0].max()) for x in self.chunks), default=-1)
+    """One block in a task; its entries stay in the file."""
+
+    def __init__(self, files: dict[int, list[str]], marks: pa.Table, key: int, unit: bool):
+        self.chunks = _Chunks(files, key).entries
+        n = self.height = 0
+        for rows, names in _Chunks(files, key).read(["rows", "names"]):
+            self.height = max(self.height, 1 + int(np.frombuffer(rows.as_buffer(), np.int32).max()))
+            n = max(n, 1 + int(np.frombuffer(names.as_buffer(), np.int32).max()))
         at = marks.column("at").to_numpy()
         self.known, self.c, self.scale, self.shared = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
         self.known[at], self.c[at], self.scale[at] = True, marks.column("c").to_numpy(), marks.column("scale").to_numpy()
@@ -218,14 +247,14 @@ class _Matrix:
         self.turn = np.ones(self.height)
         if unit:
             square = np.zeros(self.height)
-            for rows, lens, names, cols, vals in self.chunks:
+            for rows, lens, names, cols, vals in self.chunks():
                 square[rows] += np.add.reduceat((vals * self.scale[names][cols]) ** 2, np.cumsum(lens) - lens)
             self.turn = np.divide(1.0, np.sqrt(square), out=np.zeros(self.height), where=square > 0)
 
     def times(self, x: np.ndarray) -> np.ndarray:
         """The block times a row of ``x`` for each of its columns."""
         out = np.zeros((self.height, x.shape[1]))
-        for rows, lens, names, cols, vals in self.chunks:
+        for rows, lens, names, cols, vals in self.chunks():
             start, mine = np.cumsum(lens) - lens, (x[names] * self.scale[names][:, None]).T.copy()
             cols, vals = cols.astype(np.intp), vals.astype(float)       # once, not for each column of x
             out[rows] += np.stack([np.add.reduceat(v[cols] * vals, start) for v in mine], axis=1)
@@ -234,7 +263,7 @@ class _Matrix:
     def back(self, y: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
         """The transposed block times a row of ``y`` for each of its rows; for the columns ``only``."""
         out, y = np.zeros((len(self.c), y.shape[1])), y * self.turn[:, None]
-        for rows, lens, names, cols, vals in self.chunks:
+        for rows, lens, names, cols, vals in self.chunks():
             of = np.repeat(np.arange(len(rows)), lens)
             if only is not None:
                 some = only[names][cols]
@@ -267,32 +296,43 @@ _LINES = "block long, at int, v array<double>"
 
 
 class _Dealt(NamedTuple):
-    """The chunks and the weights of the columns, cached by block in ``parts`` partitions."""
+    """The weights of the columns, cached by block in ``parts`` partitions, and the files of the chunks by their task."""
     table: DataFrame
     parts: int
     unit: bool
+    files: dict[int, list[str]]
 
     def apply(self, state: DataFrame, work: Callable, schema: str) -> DataFrame:
-        """``work`` on each block and its lines of ``state``; only ``state`` moves."""
+        """``work`` on each block, its number and its lines of ``state``; only ``state`` moves."""
+        files, unit = self.files, self.unit
+
+        def run(marks: pa.Table, lines: pa.Table) -> pa.Table:
+            key = (lines if lines.num_rows else marks).column("block")[0].as_py()
+            return work(_Matrix(files, marks, key, unit), key, lines)
         return self.table.groupBy("block").cogroup(
-            state.repartition(self.parts, "block").groupBy("block")).applyInArrow(work, schema)
+            state.repartition(self.parts, "block").groupBy("block")).applyInArrow(run, schema)
+
+
+def _files(table: DataFrame) -> dict[int, list[str]]:
+    """The files of a written table by the task that wrote them."""
+    out: dict[int, list[str]] = {}
+    for uri in sorted(table.inputFiles()):
+        out.setdefault(int(uri.rsplit("/", 1)[1].split("-")[1]), []).append(uri)
+    return out
 
 
-def _rows(block: pa.Table, v: np.ndarray) -> pa.Table:
+def _rows(key: int, v: np.ndarray) -> pa.Table:
     """The left side of a block: row i is at -1 - i."""
-    return _state(block=np.full(len(v), block.column("block")[0].as_py()), at=(-1 - np.arange(len(v))).astype(np.int32), v=v)
+    return _state(block=np.full(len(v), key), at=(-1 - np.arange(len(v))).astype(np.int32), v=v)
 
 
 def _first(dealt: _Dealt, places: DataFrame, seeds: list[str]) -> DataFrame:
     """(block, at, v): the matrix times the normals of the names of its columns."""
-    unit = dealt.unit
-
-    def work(block: pa.Table, state: pa.Table) -> pa.Table:
-        m = _Matrix(block, unit)
+    def work(m: _Matrix, key: int, state: pa.Table) -> pa.Table:
         x = np.zeros((len(m.c), len(seeds)))
         for part in state.select(["at", "name"]).to_batches():
             x[part.column("at").to_numpy()] = normals(part.column("name").to_pylist(), seeds)
-        return _rows(block, m.times(x))
+        return _rows(key, m.times(x))
     names = places.select("block", "at", F.col("column").cast("string").alias("name"))
     return cut_lineage(dealt.apply(names, work, _LINES))
 
@@ -300,30 +340,25 @@ def _first(dealt: _Dealt, places: DataFrame, seeds: list[str]) -> DataFrame:
 def _left(dealt: _Dealt, words: DataFrame, width: int, turn: np.ndarray, before: DataFrame, last: np.ndarray) -> DataFrame:
     """(block, at, v): the matrix times ``turn`` times the columns' arrays of ``words``; those of columns in one block
     come from the left side ``before`` times ``last``."""
-    unit = dealt.unit
-
-    def work(block: pa.Table, state: pa.Table) -> pa.Table:
-        m = _Matrix(block, unit)
+    def work(m: _Matrix, key: int, state: pa.Table) -> pa.Table:
         x = _arrays(state, False, len(m.c), width)
         own = m.known & ~m.shared
         x[own] = m.back(_arrays(state, True, m.height, len(last)) @ last, own)[own]
-        return _rows(block, m.times(x @ turn))
+        return _rows(key, m.times(x @ turn))
     return cut_lineage(dealt.apply(words.unionByName(before), work, _LINES))
 
 
 def _right(dealt: _Dealt, left: DataFrame, last: np.ndarray, places: DataFrame | None) -> DataFrame:
     """(c, v, places): the transposed matrix times the left side times ``last``. Columns of one block are there as the
     triangular factor of their arrays, below 0; without ``places``, each as it is."""
-    unit, whole = dealt.unit, places is None
+    whole = places is None
 
-    def work(block: pa.Table, state: pa.Table) -> pa.Table:
-        m = _Matrix(block, unit)
+    def work(m: _Matrix, key: int, state: pa.Table) -> pa.Table:
         out = m.back(_arrays(state, True, m.height, len(last)) @ last)
         if whole:
             return _state(c=m.c[m.known], v=out[m.known])
         some, own = m.known & m.shared, out[m.known & ~m.shared]
         own = _triangle(own, None) if len(own) else own
-        key = block.column("block")[0].as_py()
         code = -1 - (((key >> 32) * 65536 + (key & 0xFFFFFFFF)) * 1024 + np.arange(len(own)))    # one a block and row
         return _state(c=np.concatenate([m.c[some], code]), v=np.vstack([out[some], own]))
     parts = dealt.apply(left, work, "c long, v array<double>").repartition("c")     # a block has a column once: nothing to add up before
@@ -353,9 +388,8 @@ def block_svd(blocks: Blocks, k: int, weights: DataFrame | None = None, unit_row
     parts = 4 * blocks.chunks.select("block").distinct().count()      # few blocks meet in one
     rank = 0
     if parts:
-        table = (blocks.chunks.unionByName(marks, allowMissingColumns=True)
-                 .repartition(parts, "block").sortWithinPartitions("block").persist())
-        dealt = _Dealt(table, parts, unit_rows)
+        table = marks.repartition(parts, "block").sortWithinPartitions("block").persist()
+        dealt = _Dealt(table, parts, unit_rows, _files(blocks.chunks))
         left = _first(dealt, blocks.places, [f"{seed}:{j}" for j in range(width)])
         turn = _basis(left, width, tolerance)
         rank = turn.shape[1]
